@@ -1,0 +1,24 @@
+"""Broadcast a join side only after its size has been bounded."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension with more rows than this is joined by shuffle instead; the
+# runtime (AQE) may still pick a broadcast from measured shuffle sizes.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Runs one bounded job: the scan stops after ``max_rows + 1`` rows, so the
+    check costs at most that many rows whatever the table size.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if its row count is bounded by ``max_rows``, else ``df``."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
