@@ -18,13 +18,14 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings that are safe to change on a running session."""
     for key, value in DEFAULT_CONF.items():
-        if key == "spark.ui.enabled":
+        if key in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             continue
         spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
