@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators import dims, performance, status
-from shelfwise.plans import best_sellers, inventory
+from shelfwise.plans import best_sellers, inventory, popularity, pricing
 from shelfwise.sources import tpch_retail
 
 DIGITS = 6
@@ -85,6 +85,54 @@ def q_best_sellers_view(spark, sf_dir):
     return rounded(best_sellers.best_sellers_view(_inputs(spark, sf_dir)))
 
 
+def _inventory(spark, sf_dir):
+    return inventory.inventory_view(_inputs(spark, sf_dir))
+
+
+def _best_sellers(spark, sf_dir):
+    return best_sellers.best_sellers_view(_inputs(spark, sf_dir))
+
+
+def q_price_benchmark(spark, sf_dir):
+    return rounded(pricing.price_benchmark(_inventory(spark, sf_dir)))
+
+
+def q_price_benchmark_summary(spark, sf_dir):
+    return rounded(pricing.price_benchmark_summary(_inventory(spark, sf_dir)))
+
+
+def q_benchmark_breakdown(spark, sf_dir):
+    return rounded(pricing.benchmark_breakdown(_inventory(spark, sf_dir)))
+
+
+def q_focus_brands(spark, sf_dir):
+    return rounded(pricing.focus_brands(_inventory(spark, sf_dir)))
+
+
+def q_reactivation_list(spark, sf_dir):
+    return rounded(pricing.reactivation_list(_inventory(spark, sf_dir)))
+
+
+def q_price_suggestion(spark, sf_dir):
+    return rounded(pricing.price_suggestion(_inventory(spark, sf_dir)))
+
+
+def q_best_sellers_overview(spark, sf_dir):
+    return rounded(popularity.best_sellers_overview(_best_sellers(spark, sf_dir)))
+
+
+def q_best_sellers_details(spark, sf_dir):
+    return rounded(popularity.best_sellers_details(_best_sellers(spark, sf_dir)))
+
+
+def q_restock_list(spark, sf_dir):
+    return rounded(popularity.restock_list(_best_sellers(spark, sf_dir)))
+
+
+def q_cluster_gtins(spark, sf_dir):
+    return popularity.cluster_gtins(_best_sellers(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_geo": q_dim_geo,
     "dim_language": q_dim_language,
@@ -93,4 +141,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_country_status": q_product_country_status,
     "inventory_view": q_inventory_view,
     "best_sellers_view": q_best_sellers_view,
+    "price_benchmark": q_price_benchmark,
+    "price_benchmark_summary": q_price_benchmark_summary,
+    "benchmark_breakdown": q_benchmark_breakdown,
+    "focus_brands": q_focus_brands,
+    "reactivation_list": q_reactivation_list,
+    "price_suggestion": q_price_suggestion,
+    "best_sellers_overview": q_best_sellers_overview,
+    "best_sellers_details": q_best_sellers_details,
+    "restock_list": q_restock_list,
+    "cluster_gtins": q_cluster_gtins,
 }
