@@ -9,12 +9,14 @@ sums as bigint. The SQL twins live in :mod:`shelfwise.oracle`.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise import jobs
 from shelfwise.operators import dims, performance, status
 from shelfwise.plans import best_sellers, inventory, popularity, pricing
 from shelfwise.sources import tpch_retail
@@ -133,6 +135,18 @@ def q_cluster_gtins(spark, sf_dir):
     return popularity.cluster_gtins(_best_sellers(spark, sf_dir))
 
 
+INCREMENTAL_DAYS = 7
+
+
+def q_incremental_inventory(spark, sf_dir):
+    """Incremental rebuild of the last seven snapshot days (reading only the
+    ad days they need); equals the full view's rows of those days."""
+    i = _inputs(spark, sf_dir)
+    end = i.products.agg(F.max("partition_date")).first()[0]
+    start = end - dt.timedelta(days=INCREMENTAL_DAYS - 1)
+    return rounded(flatten_inventory(jobs.incremental_inventory_view(i, start, end)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_geo": q_dim_geo,
     "dim_language": q_dim_language,
@@ -151,4 +165,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_sellers_details": q_best_sellers_details,
     "restock_list": q_restock_list,
     "cluster_gtins": q_cluster_gtins,
+    "incremental_inventory": q_incremental_inventory,
 }
