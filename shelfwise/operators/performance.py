@@ -18,6 +18,9 @@ from shelfwise.operators import dims
 from shelfwise.operators.broadcast import broadcast_if_small
 
 PERF_KEYS = ["merchant_id", "channel", "offer_id", "language_code", "target_country"]
+# Keys of the product-side join: merchant, lower-case offer, country,
+# language and snapshot day (= ad day + 1).
+SNAPSHOT_JOIN_KEYS = ["merchant_id", "offer_key", "targeted_country", "content_language", "date"]
 DAILY_METRICS = ["impressions", "clicks", "cost", "conversions", "conversions_value"]
 
 # "30 days" and "7 days" include both ends: 31 and 8 calendar days.
@@ -76,6 +79,8 @@ def performance_for_snapshot_join(rolling: DataFrame) -> DataFrame:
     Channel and transfer run are not join keys, so several rows per key can
     exist; rows equal in all ten metrics are merged here, which the final
     DISTINCT of both views would do anyway (it shrinks the join fan-out).
+    The rows are hash partitioned on the join keys first, so the merge and
+    the join that follows share one shuffle.
     """
     from shelfwise.schemas import ROLLING_METRICS
 
@@ -86,4 +91,4 @@ def performance_for_snapshot_join(rolling: DataFrame) -> DataFrame:
         F.col("language_code").alias("content_language"),
         F.date_add("date", 1).alias("date"),
         *ROLLING_METRICS)
-    return keyed.dropDuplicates()
+    return keyed.repartition(*SNAPSHOT_JOIN_KEYS).dropDuplicates()

@@ -35,20 +35,20 @@ def targeted_countries(destination: Column) -> Column:
         array_or_empty(destination["disapproved_countries"])))
 
 
-def product_status(products: DataFrame) -> DataFrame:
+def product_status(products: DataFrame, date_column: str = "partition_date") -> DataFrame:
     """One row per product and Shopping destination (``ProductStatus``)."""
     exploded = products.select(
-        F.col("partition_date").alias("date"), "merchant_id", "product_id",
+        F.col(date_column).alias("date"), "merchant_id", "product_id",
         F.explode(shopping_destinations(F.col("destinations"))).alias("destination"))
     return exploded.select("date", "merchant_id", "product_id",
                            targeted_countries(F.col("destination")).alias("targeted_countries"),
                            "destination")
 
 
-def product_country_status(products: DataFrame) -> DataFrame:
+def product_country_status(products: DataFrame, date_column: str = "partition_date") -> DataFrame:
     """One row per product, Shopping destination and targeted country, with
     ``is_disapproved`` (``ProductStatusCountry``)."""
-    status = product_status(products)
+    status = product_status(products, date_column)
     rows = status.select(
         "date", "merchant_id", "product_id",
         F.explode_outer("targeted_countries").alias("targeted_country"),

@@ -7,11 +7,10 @@ Join order and plan shape
 * Filters on the product row (online channel, has a Shopping destination)
   are applied before any join; left joins keep all product rows, so this is
   the same result with less data moved.
-* Country status is computed row-locally from the same product rows and
-  joined back on (date, merchant, product); price insights join on the same
-  key, so Spark can reuse one hash partitioning for both.
-* Benchmark rows add the country to the key; ad performance is keyed by
-  offer (lower case), country, language and snapshot day.
+* Status and ad performance are joined on a narrow side, and the wide
+  product rows are shuffled once (see :mod:`shelfwise.plans.product_joins`);
+  price insights (product key) and benchmark (product key + country) join
+  on that partitioning.
 * The final whole-row DISTINCT removes the duplicates that the channel and
   item-id case fan-out produce when all metrics agree.
 """
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import effective_price, last_path_node, micros_to_units
 from shelfwise.operators import performance, status
+from shelfwise.plans import product_joins
 from shelfwise.schemas import INVENTORY_VIEW_COLUMNS, ROLLING_METRICS
 from shelfwise.sources.readers import RetailInputs
 
@@ -50,25 +50,16 @@ def rolling_for_join(inputs: RetailInputs) -> DataFrame:
     return performance.performance_for_snapshot_join(performance.rolling_performance(daily))
 
 
-def _products(products: DataFrame) -> DataFrame:
-    return (products.withColumnRenamed("partition_date", "date")
-            .withColumn("offer_key", F.lower("offer_id")))
-
-
 def inventory_view(inputs: RetailInputs, rolling: DataFrame | None = None) -> DataFrame:
     products = inputs.products.where(
         (F.col("channel") == "online") & status.has_shopping_destination())
-    country_status = status.product_country_status(products)
     perf = rolling if rolling is not None else rolling_for_join(inputs)
-
-    joined = (_products(products)
-              .join(country_status, ["date", "merchant_id", "product_id"], "left")
+    keyed = product_joins.partitioned_products(products)
+    joined = (product_joins.join_status_and_performance(keyed, perf)
               .join(price_insights_rows(inputs.price_insights),
                     ["date", "merchant_id", "product_id"], "left")
               .join(price_competitiveness_rows(inputs.price_competitiveness),
-                    ["date", "merchant_id", "product_id", "targeted_country"], "left")
-              .join(perf, ["merchant_id", "offer_key", "targeted_country", "content_language",
-                           "date"], "left"))
+                    ["date", "merchant_id", "product_id", "targeted_country"], "left"))
 
     view = joined.select(
         "date",
