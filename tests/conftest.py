@@ -143,7 +143,8 @@ def plan_nodes(df, name: str) -> int:
     import re
 
     tree = plan_text(df).split("\n\n")[0]
-    return len(re.findall(rf"(?:^|[ :+|-]){re.escape(name)} \(\d+\)", tree, flags=re.M))
+    pattern = rf"^[ :+|-]*{re.escape(name)}(?: [^(\n]*)? \(\d+\)$"
+    return len(re.findall(pattern, tree, flags=re.M))
 
 
 def rows(df, *cols):

@@ -1,0 +1,122 @@
+"""Pricing and popularity marts (MA1-MA23)."""
+
+from __future__ import annotations
+
+from conftest import D, benchmark, destination, insight, inputs, product, rows, stat
+
+from shelfwise.plans import best_sellers, inventory, popularity, pricing
+
+SNAP = D(2024, 1, 10)
+
+
+def _inventory(spark, prices, **kw):
+    """One product per (price, benchmark) pair; benchmark in micros."""
+    products = [product(pid=f"p{i}", offer=f"Sku{i}", price=p,
+                        brand=f"B{i % 2}", destinations=[destination(approved=["US"],
+                                                                      disapproved=["US"] if i == 0 else [])])
+                for i, (p, _) in enumerate(prices)]
+    pc = [benchmark(SNAP, f"p{i}", "US", b) for i, (_, b) in enumerate(prices)]
+    return inventory.inventory_view(inputs(spark, products=products, pc=pc, **kw))
+
+
+def test_price_position_band_edges(spark):
+    # ratio exactly 0.99 and 1.01 belong to cheaper / more expensive
+    inv = _inventory(spark, [(99.0, 100_000_000), (101.0, 100_000_000), (100.0, 100_000_000),
+                             (98.0, 100_000_000), (102.0, 100_000_000)])
+    got = rows(pricing.price_benchmark(inv), "product_id", "price_position", "price_delta")
+    assert got == [("p0", "cheaper", -1.0), ("p1", "more_expensive", 1.0), ("p2", "similar", 0.0),
+                   ("p3", "cheaper", -2.0), ("p4", "more_expensive", 2.0)]
+
+
+def test_summary_shares_add_up_to_one(spark):
+    inv = _inventory(spark, [(99.0, 100_000_000), (101.0, 100_000_000), (100.0, 100_000_000),
+                             (50.0, 100_000_000)])
+    for r in pricing.price_benchmark_summary(inv).collect():
+        assert abs(r["pct_cheaper"] + r["pct_more_expensive"] + r["pct_similar"] - 1.0) < 1e-12
+    total = sum(r["products_with_benchmark"] for r in pricing.price_benchmark_summary(inv).collect())
+    assert total == 4
+
+
+def test_counts_are_distinct_over_fan_out(spark):
+    prev = D(2024, 1, 9)
+    stats = [stat(prev, item="SKU0", clicks=1), stat(prev, item="sku0", clicks=2)]
+    inv = _inventory(spark, [(99.0, 100_000_000)], stats=stats)
+    assert inv.count() == 2                      # two view rows for one product/country
+    s = pricing.price_benchmark_summary(inv).first()
+    assert s["products_with_benchmark"] == 1
+
+
+def test_breakdown_by_dimension(spark):
+    inv = _inventory(spark, [(99.0, 100_000_000), (101.0, 100_000_000), (100.0, 100_000_000)])
+    got = rows(pricing.benchmark_breakdown(inv), "dimension", "value", "products_with_benchmark",
+               "more_expensive_products")
+    assert got == [("brand", "B0", 2, 0), ("brand", "B1", 1, 1), ("category", "Cars", 3, 1),
+                   ("custom_label", "L0", 3, 1)]
+    top = pricing.focus_brands(inv, k=1).collect()
+    assert [(r["brand"], r["position"]) for r in top] == [("B1", 1)]
+
+
+def test_reactivation_list(spark):
+    prev = D(2024, 1, 9)
+    inv = _inventory(spark, [(99.0, 100_000_000), (120.0, 100_000_000)],
+                     stats=[stat(prev, item="SKU0", clicks=1)])
+    got = rows(pricing.reactivation_list(inv), "product_id", "impressions_30days", "position")
+    assert got == [("p0", 1, 1)]
+
+
+def test_price_suggestion_uplift_and_order(spark):
+    prev = D(2024, 1, 9)
+    products = [product(pid=f"p{i}", offer=f"Sku{i}") for i in range(3)]
+    pi = [insight(SNAP, f"p{i}", 9_000_000, clicks_fraction=0.5) for i in range(3)]
+    stats = [stat(prev, item=f"SKU{i}", clicks=i * 10) for i in range(3)]
+    inv = inventory.inventory_view(inputs(spark, products=products, pi=pi, stats=stats))
+    got = rows(pricing.price_suggestion(inv, k=2), "position", "product_id", "predicted_clicks_30days")
+    assert got == [(1, "p2", 10.0), (2, "p1", 5.0)]
+
+
+def _cluster(entity, country="US", pstatus="IN_STOCK", bstatus="IN_STOCK", demand="HIGH",
+             rank=1, gtins="1 2", category="1", brand="B"):
+    return {"partition_date": SNAP, "country_code": country, "report_category_id": int(category),
+            "entity_id": entity, "title": entity, "brand": brand, "category_l1": "Toys",
+            "category_l2": "Cars", "category_l3": "", "category_l4": None, "category_l5": None,
+            "variant_gtins": gtins, "product_inventory_status": pstatus,
+            "brand_inventory_status": bstatus, "rank": rank, "previous_rank": rank + 2,
+            "relative_demand": demand, "previous_relative_demand": "LOW",
+            "relative_demand_change": "RISER"}
+
+
+def _best_sellers(spark):
+    products = [product(pid="p1", offer="Sku1", destinations=[destination(approved=["US"], disapproved=["US"])]),
+                product(pid="p2", offer="Sku2", destinations=[destination(approved=["US"])])]
+    clusters = [_cluster("e1", rank=3), _cluster("e2", pstatus="OUT_OF_STOCK", rank=2),
+                _cluster("e3", pstatus="NOT_IN_INVENTORY", bstatus="OUT_OF_STOCK", brand="C"),
+                _cluster("e4", pstatus="NOT_IN_INVENTORY", bstatus="NOT_IN_INVENTORY", gtins="")]
+    mapping = [{"partition_date": SNAP, "entity_id": "e1", "product_id": "p1"},
+               {"partition_date": SNAP, "entity_id": "e1", "product_id": "p2"}]
+    return best_sellers.best_sellers_view(inputs(spark, products=products, clusters=clusters,
+                                                 mapping=mapping))
+
+
+def test_overview_counts(spark):
+    got = rows(popularity.best_sellers_overview(_best_sellers(spark)), "dimension", "value",
+               "top_products", "top_products_you_have")
+    assert got == [("brand", "B", 3, 1), ("brand", "C", 1, 0), ("category", "1", 4, 1)]
+
+
+def test_details_availability_and_offers(spark):
+    d = {r["entity_id"]: r for r in popularity.best_sellers_details(_best_sellers(spark)).collect()}
+    assert d["e1"]["availability"] == "In stock"
+    assert d["e2"]["availability"] == "Out of stock"
+    assert d["e3"]["availability"] == "Brand not in stock"
+    assert d["e4"]["availability"] == "Not in inventory"
+    assert (d["e1"]["offers_in_inventory"], d["e1"]["disapproved_offers"]) == (2, 1)
+    assert d["e1"]["pct_disapproved_offers"] == 0.5
+    assert d["e2"]["offers_in_inventory"] == 0 and d["e2"]["pct_disapproved_offers"] is None
+    assert d["e1"]["rank_change"] == 2 and d["e1"]["category"] == "Cars"
+
+
+def test_restock_and_gtins(spark):
+    bs = _best_sellers(spark)
+    assert rows(popularity.restock_list(bs), "entity_id", "position") == [("e2", 1)]
+    got = rows(popularity.cluster_gtins(bs), "entity_id", "gtin")
+    assert got == [("e1", "1"), ("e1", "2"), ("e2", "1"), ("e2", "2"), ("e3", "1"), ("e3", "2")]
