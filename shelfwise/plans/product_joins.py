@@ -3,7 +3,11 @@ price tables: the join core shared by both views.
 
 Shuffle plan (the product rows are the widest and largest input):
 
-1. The product rows are hash partitioned once on (date, merchant, product).
+1. The product rows are hash partitioned once on (date, product). Every
+   later join key contains these two columns, so with
+   ``spark.sql.requireAllClusterKeysForCoPartition=false`` each join (and
+   the views' final DISTINCT) reuses this partitioning; product ids are
+   unique per day, so the partitioning is not skewed.
 2. Country status is exploded from those same partitioned rows, so the
    status rows need no shuffle of their own; together with each product
    row's offer key and language they form a narrow side.
@@ -30,14 +34,22 @@ from shelfwise.operators import status
 from shelfwise.operators.performance import SNAPSHOT_JOIN_KEYS
 
 PRODUCT_KEY = ["date", "merchant_id", "product_id"]
+PRODUCT_PARTITIONING = ["date", "product_id"]
 VARIANT = ["offer_key", "content_language"]
 
 
-def partitioned_products(products: DataFrame) -> DataFrame:
-    """Product rows keyed for the joins, hash partitioned on the product key."""
-    return (products.withColumnRenamed("partition_date", "date")
-            .withColumn("offer_key", F.lower("offer_id"))
-            .repartition(*PRODUCT_KEY))
+def partitioned_products(products: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Product rows keyed for the joins, hash partitioned on (date, product).
+
+    ``only`` (columns ``date, product_id``) keeps just the products it names
+    (a semi join on the same partitioning), before any other join.
+    """
+    keyed = (products.withColumnRenamed("partition_date", "date")
+             .withColumn("offer_key", F.lower("offer_id"))
+             .repartition(*PRODUCT_PARTITIONING))
+    if only is not None:
+        keyed = keyed.join(only.select(*PRODUCT_PARTITIONING), PRODUCT_PARTITIONING, "left_semi")
+    return keyed
 
 
 def status_with_performance(products: DataFrame, perf: DataFrame) -> DataFrame:
