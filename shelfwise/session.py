@@ -13,6 +13,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only with a proven bound: static plan estimates are not one
+    # (they do not grow through explode), so the planner's size guess is off
+    # and broadcasts come from explicit, checked hints or from AQE, which
+    # decides on measured shuffle sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     # Let a join on (product key + country) reuse a partitioning on the
     # product key instead of re-shuffling the wide side.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
