@@ -25,7 +25,14 @@ from pyspark.sql import functions as F
 from shelfwise.operators import performance
 from shelfwise.plans import best_sellers, inventory
 from shelfwise.session import ensure_checkpoint_dir
-from shelfwise.sources.readers import InputPaths, RetailInputs, read_inputs, restrict_days
+from shelfwise.sources.readers import (
+    InputPaths,
+    RetailInputs,
+    load_geo_targets,
+    load_language_codes,
+    read_inputs,
+    restrict_days,
+)
 
 # The snapshot of day D joins the ad performance of day D-1, whose 30-day
 # frame starts 30 days earlier: D-31 ... D-1.
@@ -55,6 +62,13 @@ def write_partitioned(df: DataFrame, path: str, replace_all: bool = True,
      .parquet(path))
 
 
+def load_dimension(spark: SparkSession, csv_path: str, table_path: str, kind: str) -> None:
+    """SK3: load a CSV dimension (``"geo_targets"`` or ``"language_codes"``)
+    into a Parquet table, replacing it (a rerun does not double the rows)."""
+    loaders = {"geo_targets": load_geo_targets, "language_codes": load_language_codes}
+    loaders[kind](spark, csv_path).write.mode("overwrite").parquet(table_path)
+
+
 def ingest_snapshot(df: DataFrame, path: str, day, partition_column: str = "partition_date") -> None:
     """SK5: store one day's export as the partition ``day`` (replacing it)."""
     rows = df.withColumn(partition_column, F.lit(_day(day)))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import resource_id
 from shelfwise.operators import dims
-from shelfwise.operators.broadcast import broadcast_if_small
+from shelfwise.schemas import ROLLING_METRICS
+from shelfwise.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 PERF_KEYS = ["merchant_id", "channel", "offer_id", "language_code", "target_country"]
 # Keys of the product-side join: merchant, lower-case offer, country,
@@ -29,17 +30,13 @@ SHORT_WINDOW_DAYS = 7
 
 
 def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataFrame,
-                      max_broadcast_rows: int | None = None) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Sum the ad metrics per day, transfer run, merchant, channel, item,
     language and country. Rows without an item id, or whose country/language
-    id matches no dimension row, are dropped (inner joins)."""
-    geo = dims.geo_countries(geo_targets)
-    lang = dims.language_codes(languages)
-    if max_broadcast_rows is not None:
-        geo = broadcast_if_small(geo, max_broadcast_rows)
-        lang = broadcast_if_small(lang, max_broadcast_rows)
-    else:
-        geo, lang = broadcast_if_small(geo), broadcast_if_small(lang)
+    id matches no dimension row, are dropped (inner joins). The reduced
+    dimensions are broadcast when they have at most ``max_broadcast_rows``."""
+    geo = broadcast_if_small(dims.geo_countries(geo_targets), max_broadcast_rows)
+    lang = broadcast_if_small(dims.language_codes(languages), max_broadcast_rows)
     s = (stats.where(F.col("segments_product_item_id").isNotNull())
          .select(
              "data_date", "latest_date",
@@ -82,8 +79,6 @@ def performance_for_snapshot_join(rolling: DataFrame) -> DataFrame:
     The rows are hash partitioned on the join keys first, so the merge and
     the join that follows share one shuffle.
     """
-    from shelfwise.schemas import ROLLING_METRICS
-
     keyed = rolling.select(
         "merchant_id",
         F.lower("offer_id").alias("offer_key"),

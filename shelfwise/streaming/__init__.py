@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The source pipelines are daily batch rebuilds: no watermark, event-time
+window, stateful operator or late-data rule exists in them, and arrival is a
+daily transfer. The nearest thing to late data is the one-day refresh
+window, which :func:`shelfwise.jobs.refresh_window` handles as a batch
+partition overwrite. No streaming operator is therefore built.
+"""

@@ -89,3 +89,13 @@ def test_incremental_equals_full_on_overlap(spark):
     expected = full.where(f"date >= '{start}'")
     assert inc.count() == expected.count()
     assert inc.exceptAll(expected).count() == 0 and expected.exceptAll(inc).count() == 0
+
+
+def test_load_dimension_replaces(spark, tmp_dir):
+    csv = os.path.join(tmp_dir, "lang.csv")
+    with open(csv, "w") as f:
+        f.write("language_name,language_code,criterion_id\nEnglish,en,1000\n")
+    table = os.path.join(tmp_dir, "language_codes")
+    jobs.load_dimension(spark, csv, table, "language_codes")
+    jobs.load_dimension(spark, csv, table, "language_codes")
+    assert spark.read.parquet(table).count() == 1
