@@ -164,11 +164,13 @@ def _catalog_days(spark: SparkSession, sf_dir: str, step: int = 1) -> DataFrame:
 
     The part table is small next to the snapshot it expands into (one row per
     day), and may sit in a single file; its rows are spread over the shuffle
-    partitions first so the expansion runs on all cores, not in one task (an
-    explicit count: adaptive coalescing would merge the small input back).
+    partitions first so the expansion runs on all cores, not in one task. The
+    count is explicit (adaptive coalescing would merge the small input back):
+    the cluster's parallelism, or the input's own split count if larger.
     """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = _read(spark, sf_dir, "part").repartition(partitions, "p_partkey")
+    part = _read(spark, sf_dir, "part")
+    partitions = max(spark.sparkContext.defaultParallelism, part.rdd.getNumPartitions())
+    part = part.repartition(partitions, "p_partkey")
     days = F.explode(F.sequence(F.lit(0), _last_ad_day(spark, sf_dir), F.lit(step)))
     return part.select("*", days.alias("d")).withColumn(
         "partition_date", F.date_add(_base(), _spread(F.col("d")) + F.lit(1)))
