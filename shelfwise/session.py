@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     # decides on measured shuffle sizes.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
+    # After a shuffle, join by hash instead of sorting the wide rows when
+    # every build-side partition is measured below this size.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     # Let a join on (product key + country) reuse a partitioning on the
     # product key instead of re-shuffling the wide side.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
