@@ -162,3 +162,11 @@ def run_daily(spark: SparkSession, cfg: DailyConfig) -> None:
                       f"{root}/{INVENTORY_TABLE}", replace_all)
     write_partitioned(best_sellers.best_sellers_view(inputs, rolling),
                       f"{root}/{BEST_SELLERS_TABLE}", replace_all)
+
+
+def register_views(spark: SparkSession, output_root: str) -> None:
+    """Expose the written views to SQL as ``InventoryView`` and
+    ``BestSellerWeeklyProductView`` (temporary views over the tables)."""
+    root = output_root.rstrip("/")
+    for name in (INVENTORY_TABLE, BEST_SELLERS_TABLE):
+        spark.read.parquet(f"{root}/{name}").createOrReplaceTempView(name)

@@ -78,6 +78,12 @@ def test_daily_job_rerun_is_idempotent(spark, tmp_dir):
     assert [r["clicks_30days"] for r in first] == [2]
     # no best-seller input was delivered: the table is written, and empty
     assert os.path.exists(os.path.join(tmp_dir, "out", jobs.BEST_SELLERS_TABLE, "_SUCCESS"))
+    jobs.write_partitioned(  # a non-empty best-seller table, so both views register
+        spark.read.parquet(out).select("date", "product_id"),
+        os.path.join(tmp_dir, "out", jobs.BEST_SELLERS_TABLE))
+    jobs.register_views(spark, os.path.join(tmp_dir, "out"))
+    sql = spark.sql("SELECT count(*) AS n, max(clicks_30days) AS c FROM InventoryView").first()
+    assert (sql["n"], sql["c"]) == (1, 2)
 
 
 def test_incremental_equals_full_on_overlap(spark):

@@ -42,3 +42,15 @@ def test_inventory_shuffles_wide_rows_once(spark):
     assert "AdaptiveSparkPlan" in tree[0]
     assert "HashAggregate" in tree[1] and "HashAggregate" in tree[2]
     assert "Exchange" not in tree[3]
+
+
+def test_broadcast_only_below_the_bound(spark):
+    from shelfwise.operators.broadcast import broadcast_if_small, has_at_most
+
+    small = spark.range(3)
+    assert has_at_most(small, 3) and not has_at_most(small, 2)
+    big_side = spark.range(1000).withColumnRenamed("id", "k")
+    joined_small = big_side.join(broadcast_if_small(small, 3), big_side.k == small.id)
+    joined_large = big_side.join(broadcast_if_small(small, 2), big_side.k == small.id)
+    assert plan_nodes(joined_small, "BroadcastExchange") == 1
+    assert plan_nodes(joined_large, "BroadcastExchange") == 0
