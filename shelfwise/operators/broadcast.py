@@ -19,6 +19,12 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its row count is bounded by ``max_rows``, else ``df``."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       bound: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if its row count is bounded by ``max_rows``, else ``df``.
+
+    ``bound`` is a DataFrame with at least as many rows as ``df`` (e.g. the
+    input of a DISTINCT): checking it instead stops after ``max_rows + 1``
+    scanned rows, without computing ``df`` at planning time.
+    """
+    return F.broadcast(df) if has_at_most(df if bound is None else bound, max_rows) else df

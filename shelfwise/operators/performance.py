@@ -35,8 +35,10 @@ def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataF
     language and country. Rows without an item id, or whose country/language
     id matches no dimension row, are dropped (inner joins). The reduced
     dimensions are broadcast when they have at most ``max_broadcast_rows``."""
-    geo = broadcast_if_small(dims.geo_countries(geo_targets), max_broadcast_rows)
-    lang = broadcast_if_small(dims.language_codes(languages), max_broadcast_rows)
+    geo = broadcast_if_small(dims.geo_countries(geo_targets), max_broadcast_rows,
+                             bound=geo_targets)
+    lang = broadcast_if_small(dims.language_codes(languages), max_broadcast_rows,
+                              bound=languages)
     s = (stats.where(F.col("segments_product_item_id").isNotNull())
          .select(
              "data_date", "latest_date",
