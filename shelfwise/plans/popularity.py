@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.plans.pricing import top_k_per_date
+from shelfwise.plans.pricing import on_date, top_k_per_date
 
 # Availability labels from the two inventory-status codes.
 # The codes are those of the best-seller report; pass another mapping if the
@@ -39,10 +39,6 @@ CLUSTER_COLUMNS = [
 LEVELS = ["category_l5", "category_l4", "category_l3", "category_l2", "category_l1"]
 
 
-def _on_date(df: DataFrame, date) -> DataFrame:
-    return df if date is None else df.where(F.col("date") == F.lit(date).cast("date"))
-
-
 def category_label() -> Column:
     """MA23: the deepest non-blank category level of a cluster."""
     return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in LEVELS])
@@ -65,7 +61,7 @@ OVERVIEW_DIMENSIONS = ("category", "brand")
 def best_sellers_overview(best_sellers: DataFrame, date=None) -> DataFrame:
     """MA12-MA14 per date and country, by category and by brand: number of
     popular products, how many of them the merchant has, and the share."""
-    df = _on_date(best_sellers, date)
+    df = on_date(best_sellers, date)
     dims = F.array(
         F.struct(F.lit("category").alias("dimension"),
                  F.col("report_category_id").cast("string").alias("value")),
@@ -85,7 +81,7 @@ def best_sellers_details(best_sellers: DataFrame, date=None, codes: dict | None
     """MA15-MA20 per cluster (date, country, category, entity): cluster
     attributes, availability, rank change, own offers, share of disapproved
     offers and 30-day clicks, conversions, conversion rate and ROAS."""
-    df = _on_date(best_sellers, date)
+    df = on_date(best_sellers, date)
     per_offer = (df.groupBy(*CLUSTER_COLUMNS, "offer_id")
                  .agg(F.max(F.coalesce("is_disapproved", F.lit(False))).alias("disapproved"),
                       F.sum("clicks_30days").alias("clicks"),
@@ -120,7 +116,7 @@ def restock_list(best_sellers: DataFrame, date=None, k: int = 100,
     """MA21: high-demand popular products the merchant has but out of stock,
     best rank first."""
     c = codes or DEFAULT_STATUS_CODES
-    df = _on_date(best_sellers, date).where(
+    df = on_date(best_sellers, date).where(
         F.col("relative_demand").isin(*HIGH_DEMAND)
         & (F.col("product_inventory_status") == c["out_of_stock"]))
     rows = df.select("date", "country_code", "report_category_id", "entity_id", "title", "brand",
@@ -134,7 +130,7 @@ def restock_list(best_sellers: DataFrame, date=None, k: int = 100,
 
 def cluster_gtins(best_sellers: DataFrame, date=None) -> DataFrame:
     """MA22: one row per cluster and GTIN of its space-separated list."""
-    df = _on_date(best_sellers, date)
+    df = on_date(best_sellers, date)
     return (df.select("date", "country_code", "entity_id",
                       F.explode(F.split(F.col("variant_gtins"), " ")).alias("gtin"))
             .where(F.col("gtin") != "")

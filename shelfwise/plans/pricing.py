@@ -29,8 +29,14 @@ MORE_EXPENSIVE_MIN_RATIO = 1.01
 DEFAULT_TOP_K = 100
 
 
-def _on_date(df: DataFrame, date) -> DataFrame:
-    return df if date is None else df.where(F.col("date") == F.lit(date).cast("date"))
+def on_date(df: DataFrame, date) -> DataFrame:
+    """``None``: all dates; ``"latest"``: the newest date of ``df`` (a scalar
+    subquery, evaluated once, no driver round trip); else that date."""
+    if date is None:
+        return df
+    if date == "latest":
+        return df.where(F.col("date") == df.select(F.max("date")).scalar())
+    return df.where(F.col("date") == F.lit(date).cast("date"))
 
 
 def price_ratio() -> Column:
@@ -53,7 +59,7 @@ def top_k_per_date(df: DataFrame, order: list[Column], k: int, rank_name: str =
 def price_benchmark(inventory: DataFrame, date=None, disapproved_only: bool = False) -> DataFrame:
     """MA1, MA2, MA5: one row per product, country and price with benchmark,
     delta, relative delta and price position."""
-    df = _on_date(inventory, date).where(F.col("benchmark_price").isNotNull())
+    df = on_date(inventory, date).where(F.col("benchmark_price").isNotNull())
     if disapproved_only:
         df = df.where(F.col("is_disapproved"))
     ratio = price_ratio()
@@ -127,7 +133,7 @@ def focus_brands(inventory: DataFrame, date=None, k: int = 20) -> DataFrame:
 def reactivation_list(inventory: DataFrame, date=None, k: int = DEFAULT_TOP_K) -> DataFrame:
     """MA6: disapproved products priced at or below the benchmark, most
     impressions first."""
-    df = _on_date(inventory, date).where(
+    df = on_date(inventory, date).where(
         F.col("is_disapproved")
         & (F.col("current_price").cast("double") <= F.col("benchmark_price")))
     rows = df.select(
@@ -146,7 +152,7 @@ def price_suggestion(inventory: DataFrame, date=None, disapproved_only: bool = F
                      k: int = DEFAULT_TOP_K) -> DataFrame:
     """MA9-MA11: suggested price with predicted extra 30-day clicks and
     conversions (uplift x last 30 days), highest potential first."""
-    df = _on_date(inventory, date).where(F.col("suggested_price").isNotNull())
+    df = on_date(inventory, date).where(F.col("suggested_price").isNotNull())
     if disapproved_only:
         df = df.where(F.col("is_disapproved"))
     rows = df.select(

@@ -120,3 +120,13 @@ def test_restock_and_gtins(spark):
     assert rows(popularity.restock_list(bs), "entity_id", "position") == [("e2", 1)]
     got = rows(popularity.cluster_gtins(bs), "entity_id", "gtin")
     assert got == [("e1", "1"), ("e1", "2"), ("e2", "1"), ("e2", "2"), ("e3", "1"), ("e3", "2")]
+
+
+def test_latest_date_filter(spark):
+    days = [D(2024, 1, 9), D(2024, 1, 10)]
+    products = [product(day=d, pid="a") for d in days]
+    pc = [benchmark(d, "a", "US", 9_000_000) for d in days]
+    inv = inventory.inventory_view(inputs(spark, products=products, pc=pc))
+    assert {r["date"] for r in pricing.price_benchmark(inv).collect()} == set(days)
+    assert [r["date"] for r in pricing.price_benchmark(inv, date="latest").collect()] == [days[1]]
+    assert [r["date"] for r in pricing.price_benchmark(inv, date="2024-01-09").collect()] == [days[0]]
