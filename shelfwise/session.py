@@ -47,8 +47,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is. Only
-    when it is unset (local tests) a scratch folder is created.
+    On a cluster that setting names a shared folder and is used as is; a
+    cluster without it is an error. Only in local mode (tests) a scratch
+    folder is created when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                               "a machine-local folder would not survive a lost executor")
         configured = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
