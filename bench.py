@@ -40,7 +40,10 @@ def main() -> None:
     from shelfwise import catalog
     from shelfwise.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")),
+    # shuffle partitions default to the core count (AQE coalesces further)
+    default_shuffle = cpus if cpus.isdigit() else "8"
+    spark = local_session(cores=cpus,
+                          shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", default_shuffle)),
                           app="shelfwise-bench")
 
     def run(name: str) -> float:
