@@ -80,3 +80,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+# Target bytes per shuffle partition / scan split on a cluster: large enough
+# to keep the task count manageable at 100 TB, small enough that a sort or
+# hash-join partition fits an executor core's share of memory with room to
+# spill.
+CLUSTER_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_settings(largest_shuffle_bytes: int, cores: int,
+                     partition_bytes: int = CLUSTER_PARTITION_BYTES) -> dict[str, str]:
+    """Settings for a cluster run, sized from the largest expected shuffle.
+
+    The largest shuffle of the views is the one of the wide product rows
+    (about the size of the products snapshot being rebuilt, uncompressed).
+    Shuffle partitions start at ``largest / partition_bytes`` (at least two
+    waves of the cluster's cores) and AQE coalesces smaller shuffles to the
+    same advisory size; skewed partitions above 4x the median and
+    ``partition_bytes`` are split.
+    """
+    partitions = max(2 * cores, -(-largest_shuffle_bytes // partition_bytes))
+    size = str(partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+    }

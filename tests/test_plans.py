@@ -54,3 +54,13 @@ def test_broadcast_only_below_the_bound(spark):
     joined_large = big_side.join(broadcast_if_small(small, 2), big_side.k == small.id)
     assert plan_nodes(joined_small, "BroadcastExchange") == 1
     assert plan_nodes(joined_large, "BroadcastExchange") == 0
+
+
+def test_cluster_settings_scale_with_the_shuffle():
+    from shelfwise.session import cluster_settings
+
+    small = cluster_settings(1 << 30, cores=4000)
+    large = cluster_settings(40 << 40, cores=4000)          # 40 TiB wide shuffle
+    assert int(small["spark.sql.shuffle.partitions"]) == 8000
+    assert int(large["spark.sql.shuffle.partitions"]) == 40 * 4096
+    assert large["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
