@@ -156,7 +156,7 @@ def q_incremental_inventory(spark, sf_dir):
     """Incremental rebuild of the last seven snapshot days (reading only the
     ad days they need); equals the full view's rows of those days."""
     i = _inputs(spark, sf_dir)
-    end = i.products.agg(F.max("partition_date")).first()[0]
+    end = tpch_retail.last_snapshot_day(spark, sf_dir)
     start = end - dt.timedelta(days=INCREMENTAL_DAYS - 1)
     return rounded(flatten_inventory(jobs.incremental_inventory_view(i, start, end)))
 

@@ -8,9 +8,10 @@ Shuffle plan (the product rows are the widest and largest input):
    ``spark.sql.requireAllClusterKeysForCoPartition=false`` each join (and
    the views' final DISTINCT) reuses this partitioning; product ids are
    unique per day, so the partitioning is not skewed.
-2. Country status is exploded from those same partitioned rows, so the
-   status rows need no shuffle of their own; together with each product
-   row's offer key and language they form a narrow side.
+2. Country status is exploded from the same product rows (Spark prunes
+   that branch to key + destinations, a narrow shuffle on the same keys);
+   together with each product row's offer key and language the status rows
+   form a narrow side, joined without a further shuffle.
 3. Only the narrow side is shuffled to meet the ad performance (keyed by
    offer, country, language, day) and back.
 4. The wide rows then join the narrow side, the benchmark and the price

@@ -154,6 +154,14 @@ def _dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return F.broadcast(_read(spark, sf_dir, name))
 
 
+def last_snapshot_day(spark: SparkSession, sf_dir: str):
+    """The newest product snapshot day (the day after the last ad day), from
+    one aggregate over the events' timestamps."""
+    d = F.max(_event_day())
+    return (_read(spark, sf_dir, "events")
+            .select(F.date_add(_base(), _spread(d) + F.lit(1)).alias("day")).first()["day"])
+
+
 def _nation_names(spark: SparkSession, sf_dir: str, alias: str) -> DataFrame:
     return _dimension(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias(f"{alias}_key"), F.col("n_name").alias(alias))
