@@ -59,6 +59,12 @@ def top_k_per_date(df: DataFrame, order: list[Column], k: int, rank_name: str =
 def price_benchmark(inventory: DataFrame, date=None, disapproved_only: bool = False) -> DataFrame:
     """MA1, MA2, MA5: one row per product, country and price with benchmark,
     delta, relative delta and price position."""
+    return _benchmark_rows(inventory, date, disapproved_only).distinct()
+
+
+def _benchmark_rows(inventory: DataFrame, date=None, disapproved_only: bool = False) -> DataFrame:
+    """Benchmark rows, possibly repeated (the counts below are per distinct
+    product and country, so they need no DISTINCT of their own)."""
     df = on_date(inventory, date).where(F.col("benchmark_price").isNotNull())
     if disapproved_only:
         df = df.where(F.col("is_disapproved"))
@@ -71,7 +77,7 @@ def price_benchmark(inventory: DataFrame, date=None, disapproved_only: bool = Fa
         (F.col("current_price").cast("double") - F.col("benchmark_price")).alias("price_delta"),
         (ratio - F.lit(1.0)).alias("relative_delta"),
         price_position(ratio).alias("price_position"),
-    ).distinct()
+    )
 
 
 def _class_counts(per_pair: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,7 +107,7 @@ def _per_pair(rows: DataFrame, keys: list[str]) -> DataFrame:
 def price_benchmark_summary(inventory: DataFrame, date=None) -> DataFrame:
     """MA3, MA4 per date and disapproval flag: products with a benchmark and
     the share cheaper / more expensive / similar (shares add up to 1)."""
-    rows = price_benchmark(inventory, date)
+    rows = _benchmark_rows(inventory, date)
     keys = ["date", "is_disapproved"]
     return _class_counts(_per_pair(rows, keys), keys)
 
@@ -112,7 +118,7 @@ BREAKDOWN_DIMENSIONS = ("brand", "custom_label", "category")
 def benchmark_breakdown(inventory: DataFrame, date=None) -> DataFrame:
     """MA7: MA3 + MA4 per brand, per custom label and per category, in one pass
     (each product row is expanded once per dimension, like GROUPING SETS)."""
-    rows = price_benchmark(inventory, date)
+    rows = _benchmark_rows(inventory, date)
     dims = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"))
                      for d in BREAKDOWN_DIMENSIONS])
     expanded = rows.select("date", "product_id", "targeted_country", "price_position",
