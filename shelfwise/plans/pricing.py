@@ -31,7 +31,12 @@ DEFAULT_TOP_K = 100
 
 def on_date(df: DataFrame, date) -> DataFrame:
     """``None``: all dates; ``"latest"``: the newest date of ``df`` (a scalar
-    subquery, evaluated once, no driver round trip); else that date."""
+    subquery, evaluated once, no driver round trip); else that date.
+
+    ``"latest"`` is meant for a view read from its written, date-partitioned
+    table, where the maximum reads one partition column; on a view computed
+    in the same query it computes the view a second time.
+    """
     if date is None:
         return df
     if date == "latest":
