@@ -105,3 +105,13 @@ def test_load_dimension_replaces(spark, tmp_dir):
     jobs.load_dimension(spark, csv, table, "language_codes")
     jobs.load_dimension(spark, csv, table, "language_codes")
     assert spark.read.parquet(table).count() == 1
+
+
+def test_cli_arguments():
+    from shelfwise.cli import parse_args
+
+    cfg = parse_args(["--input-root", "/in", "--output-root", "/out", "--merchant-id", "42",
+                      "--ads-customer-id", "123-456-7890", "--start", "2024-05-01"])
+    assert cfg.inputs.path("products") == "/in/Products_42"
+    assert cfg.inputs.path("shopping_product_stats") == "/in/ads_ShoppingProductStats_1234567890"
+    assert (cfg.start, cfg.end, cfg.output_root) == ("2024-05-01", None, "/out")
