@@ -115,3 +115,23 @@ def test_cli_arguments():
     assert cfg.inputs.path("products") == "/in/Products_42"
     assert cfg.inputs.path("shopping_product_stats") == "/in/ads_ShoppingProductStats_1234567890"
     assert (cfg.start, cfg.end, cfg.output_root) == ("2024-05-01", None, "/out")
+
+
+def test_read_inputs_with_account_table_names(spark, tmp_dir):
+    paths = readers.InputPaths(tmp_dir, merchant_id="42", ads_customer_id="7")
+    days = [D(2024, 1, d) for d in (1, 2, 3)]
+    products = frame(spark, [product(day=d, pid=str(d)) for d in days], schemas.PRODUCTS)
+    jobs.write_partitioned(products, paths.path("products"), partition_column="partition_date")
+    ads = frame(spark, [stat(d) for d in days], schemas.SHOPPING_PRODUCT_STATS)
+    jobs.write_partitioned(ads, paths.path("shopping_product_stats"), partition_column="data_date")
+    for name, schema in [("price_competitiveness", schemas.PRICE_COMPETITIVENESS),
+                         ("price_insights", schemas.PRICE_INSIGHTS),
+                         ("geo_targets", schemas.GEO_TARGETS),
+                         ("language_codes", schemas.LANGUAGE_CODES)]:
+        frame(spark, [], schema).write.mode("overwrite").parquet(paths.path(name))
+    i = readers.read_inputs(spark, paths, start="2024-01-03", end="2024-01-03",
+                            ads_start="2024-01-02")
+    assert paths.path("products").endswith("Products_42")
+    assert rows(i.products, "partition_date") == [(D(2024, 1, 3),)]
+    assert rows(i.shopping_product_stats, "data_date") == [(D(2024, 1, 2),), (D(2024, 1, 3),)]
+    assert i.best_sellers_clusters.count() == 0        # never delivered: empty fallback
