@@ -14,8 +14,8 @@ the regions of its parts (all but its smallest, at most ``slack`` of them: of sl
 shared parts one is left on both sides). Pivots that are documents alone do not do here:
 nearly all texts have distance 1 from all others, so they would lie in one region.
 
-Pivots. A region's pivot is its lowest doc_id, and every set's exact distance to its pivot
-is known. Sets within tau of a pivot are one component by way of it and need no pairs
+Pivots. A region's pivot is its lowest doc_id, and every set's distance to its pivot is
+known, exactly where the two can link, else from below. Sets within tau of a pivot are one component by way of it and need no pairs
 among themselves. Of the others, only sets of different components whose distances to the
 pivot differ by at most tau (the window) are compared.
 
@@ -45,6 +45,11 @@ MOST = 48
 #: Cells of distance to a pivot; sets and shingles of a block.
 CELL, BLOCK_SETS, BLOCK_ITEMS = 0.05, 1024, 1 << 20
 
+#: Buckets of a sketch: a set's shingle counts by the top bits of their hashes. The sum of
+#: two sketches' differences is at most |A ^ B|, so most pairs that cannot link are known
+#: without their sets.
+SKETCH = 64
+
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -138,12 +143,15 @@ def described(k: int, rings: Rings):
 DESCRIBED = "doc_id long, n_shingles long, digest binary, regions array<long>"
 
 
-def set_bytes(k: int):
+def sets_of(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n, sketch, items) of the documents ``ids``, made anew from their texts and stored."""
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, k).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
-                                             ["doc_id", "items"])
-    return run
+            sets = [shingles(t, k) for t in b.column(1).to_pylist()]
+            sketches = [np.bincount((h >> np.uint64(58)).astype(np.int64), minlength=SKETCH).astype("<u4").tobytes() for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(sketches, pa.binary()),
+                                              pa.array([h.tobytes() for h in sets], pa.binary())], ["doc_id", "n", "sketch", "items"])
+    return stored(texts.join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, n long, sketch binary, items binary"), "sets")
 
 
 def shared(batches):
@@ -161,13 +169,35 @@ def shared(batches):
                                           pa.array(common, pa.int64())], ["a", "b", "n_a", "n_b", "common"])
 
 
-def compared(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """Exact sizes and overlap of ``pairs`` (a, b), stored: (a, b, n_a, n_b, common)."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stored(texts.join(ids, "doc_id", "left_semi").mapInArrow(set_bytes(k), "doc_id long, items binary"), "sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(shared, "a long, b long, n_a long, n_b long, common long"), "pairs")
+def apart(batches):
+    """(a, b, n_a, n_b, least) of (a, b, n_a, n_b, sketch_a, sketch_b); least: of shingles in which they differ."""
+    for b in batches:
+        x, y = (np.array([np.frombuffer(v.as_buffer(), "<u4") for v in b.column(c)], np.int64).reshape(-1, SKETCH) for c in (4, 5))
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(abs(x - y).sum(1))], ["a", "b", "n_a", "n_b", "least"])
+
+
+def compared(pairs: DataFrame, sets: DataFrame, num: int, den: int, whole: bool = False) -> DataFrame:
+    """``pairs`` (a, b) with their sizes, overlap, whether they link, and bounds of their
+    distance, stored: (a, b, n_a, n_b, common, linked, low, high).
+
+    Pairs whose sketches show that they cannot link are not compared (common is null, the
+    bounds lie apart), unless ``whole``. ``sets`` is (doc_id, n, sketch, items).
+    """
+    x, y = (sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab")
+    sketched = pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(
+        apart, "a long, b long, n_a long, n_b long, least long")
+    total = F.col("n_a") + F.col("n_b")
+    can = F.col("least") * (den + num) <= total * (den - num)
+    sketched = stored(sketched.withColumn("open", F.lit(True) if whole else can), "sketched")
+    x, y = (sets.select(F.col("doc_id").alias(c), F.col("items").alias(f"i_{c}")) for c in "ab")
+    both = sketched.where("open").select("a", "b").join(x, "a").join(y, "b").select("a", "b", "i_a", "i_b")
+    exact = both.mapInArrow(shared, "a long, b long, n_a long, n_b long, common long")
+    known = exact.select("*", (1 - F.col("common") / (total - F.col("common"))).alias("low"))
+    known = known.select("a", "b", "n_a", "n_b", "common", (F.col("common") * den >= (total - F.col("common")) * num).alias("linked"), "low", F.col("low").alias("high"))
+    far = 1 - (total - F.col("least")) / (total + F.col("least"))
+    rest = sketched.where("not open").select("a", "b", "n_a", "n_b", F.lit(None).cast("long").alias("common"), F.lit(False).alias("linked"),
+                                             far.alias("low"), F.lit(1.0).alias("high"))
+    return stored(known.unionByName(rest), "pairs")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -230,24 +260,23 @@ def meeting(num: int, den: int, columns: int = 2048):
     return run
 
 
-def large_regions(open_: DataFrame, checked: DataFrame, linked, found: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def large_regions(open_: DataFrame, checked: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) among the sets of large regions ``open_`` (doc_id, pivot): cells, windows and blocks."""
     spread = open_.select("doc_id", "pivot").distinct()
     spread = stored(spread, "large")
     fields = components(spread.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
-    sets = stored(spread.select("doc_id").distinct().join(fields.withColumnRenamed("node", "doc_id"), "doc_id")
+    placed = stored(spread.select("doc_id").distinct().join(fields.withColumnRenamed("node", "doc_id"), "doc_id")
                   .withColumnRenamed("label", "field"), "fields")
-    degree = checked.where(linked).groupBy(F.col("b").alias("doc_id")).agg(F.count("*").alias("n"))
+    degree = checked.where("linked").groupBy(F.col("b").alias("doc_id")).agg(F.count("*").alias("n"))
     pivots = spread.select(F.col("pivot").alias("doc_id")).distinct().join(degree, "doc_id", "left").join(
         fields.withColumnRenamed("node", "doc_id"), "doc_id").groupBy(F.col("label").alias("field")).agg(
         F.max_by("doc_id", F.struct(F.coalesce("n", F.lit(0)), -F.col("doc_id"))).alias("pivot"))
-    pairs = stored(sets.join(pivots, "field").where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")), "to pivot")
-    measured = compared(pairs, texts, k)
-    close = measured.where(linked).select("a", "b")
-    apart = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    cells = sets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(
-        measured.select(F.col("a").alias("doc_id"), F.col("n_a").alias("size"), F.floor(apart / CELL + 1e-9).alias("cell"),
-                        linked.alias("ball")), "doc_id").select(
+    pairs = stored(placed.join(pivots, "field").where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")), "to pivot")
+    measured = compared(pairs, sets, num, den, whole=True)
+    close = measured.where("linked").select("a", "b")
+    cells = placed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(
+        measured.select(F.col("a").alias("doc_id"), F.col("n_a").alias("size"), F.floor(F.col("low") / CELL + 1e-9).alias("cell"),
+                        F.col("linked").alias("ball")), "doc_id").select(
         "doc_id", "field", "size", "cell", "ball", F.coalesce("label", "doc_id").alias("label"))
     blocks = cells.groupBy("field", "cell", "ball").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_ITEMS)).alias("blocks"))
@@ -259,9 +288,8 @@ def large_regions(open_: DataFrame, checked: DataFrame, linked, found: DataFrame
     meet = x.join(y, "field").where((F.col("x") <= F.col("y")) & gap & ~(F.col("x.ball") & F.col("y.ball")))
     meet = meet.select("field", "x", "y", F.explode(F.when(F.col("x") == F.col("y"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("side"))
     meet = meet.withColumn("own", F.when(F.col("side") == 0, F.col("x")).otherwise(F.col("y")))
-    items = stored(texts.join(cells.select("doc_id"), "doc_id", "left_semi").mapInArrow(set_bytes(k), "doc_id long, items binary"), "sets")
     dealt = cells.withColumn("own", F.struct("cell", "ball", "block")).join(meet, ["field", "own"]).select("field", "x", "y", "side", "doc_id", "label")
-    edges = dealt.join(items, "doc_id").groupBy("field", "x", "y").applyInPandas(meeting(num, den), "a long, b long")
+    edges = dealt.join(sets.select("doc_id", "items"), "doc_id").groupBy("field", "x", "y").applyInPandas(meeting(num, den), "a long, b long")
     return close.unionByName(stored(edges, "met"))
 
 
@@ -279,29 +307,28 @@ def joined(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, mo
     pivots = stored(dealt.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
                     .where("pivot < last"), "pivots")
     members = stored(dealt.join(pivots.select("key", "pivot", "n"), "key").where("doc_id <> pivot"), "members")
-    checked = compared(members.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct(), texts, k)
-    linked = F.col("common") * den >= F.lit(num) * (F.col("n_a") + F.col("n_b") - F.col("common"))
-    links = links.unionByName(checked.where(linked).select("a", "b"))
+    sets = sets_of(members.select("doc_id").union(pivots.select("pivot")).distinct(), texts, k)
+    checked = compared(members.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct(), sets, num, den)
+    links = links.unionByName(checked.where("linked").select("a", "b"))
     found = components(links)
     # What is left of a region: its sets but the pivot, if they are of several components.
-    distance = checked.select(F.col("a").alias("doc_id"), F.col("b").alias("pivot"), F.col("n_a").alias("size"),
-                              (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("distance"))
+    distance = checked.select(F.col("a").alias("doc_id"), F.col("b").alias("pivot"), F.col("n_a").alias("size"), "low", "high")
     open_ = members.where("n > 2").join(distance, ["doc_id", "pivot"]).join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     open_ = stored(open_.withColumn("label", F.coalesce("label", "doc_id")), "open")
-    several = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("left")).where("low < high")
+    several = open_.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("left")).where("first < last")
     open_ = stored(open_.join(several.select("key", "left"), "key"), "several")
     if not (large := open_.where(F.col("left") > most)).isEmpty():
-        links = links.unionByName(large_regions(large, checked, linked, found, texts, k, num, den))
+        links = links.unionByName(large_regions(large, checked, found, sets, num, den))
         found = components(links)
     small = open_.where(F.col("left") <= most).drop("label").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     small = small.withColumn("label", F.coalesce("label", "doc_id"))
-    x, y = (small.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "label", "distance", "size"))) for s in "ab")
-    near = F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - num / den + 1e-9
+    x, y = (small.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "label", "low", "high", "size"))) for s in "ab")
+    near = F.greatest(F.col("low_a") - F.col("high_b"), F.col("low_b") - F.col("high_a")) <= 1 - num / den + 1e-9
     sized = F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num
     pairs = x.join(y, "key").where((F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b")) & near & sized)
     pairs = stored(pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct(), "rest")
     if not pairs.isEmpty():
-        links = links.unionByName(compared(pairs, texts, k).where(linked).select("a", "b"))
+        links = links.unionByName(compared(pairs, sets, num, den).where("linked").select("a", "b"))
         found = components(links)
     return rows, found
 
