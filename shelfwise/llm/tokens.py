@@ -9,61 +9,102 @@ start of a special token, are encoded whole.
 
 from __future__ import annotations
 
+import itertools
 import os
 
+import numpy as np
+
 
 class WordEncoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
+    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
+
+    Words met lately are held in two generations of at most ``most_words / 2``: when the
+    young one is full it becomes the old one, and words met again move back.
+    """
 
-    def __init__(self, path: str, most_words: int = 250_000, longest: int = 64) -> None:
+    def __init__(self, path: str, most_words: int = 800_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.words: dict[str, bytes | None] = {}
-        self.firsts: dict[str, bytes | None] = {}
-        self.most_words, self.longest = most_words, longest
+        vocab = self.library.get_vocab()
+        self.starts = np.zeros(max(vocab.values()) + 1, bool)  # ids that start with a space
+        self.starts[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
+        self.tails = dict(zip(".,", self.whole([".", ","]), strict=True))
+        self.young: dict[str, bytes | bool] = {}
+        self.old: dict[str, bytes | bool] = {}
+        self.most, self.longest = most_words // 2, longest
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def coded(self, words: list[str]) -> list[bytes]:
+        """Ids of words that follow a space each: one text of all of them, cut before each space."""
+        if not words:
+            return []
+        ids = np.array(self.library.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.starts[ids])
+        if len(ends) != len(words):
+            return self.whole([" " + w for w in words])
+        raw, at = ids.tobytes(), [*(4 * ends).tolist(), 4 * len(ids)]
+        return [raw[a:b] for a, b in itertools.pairwise(at)]
 
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def learn(self, new: set[str]) -> list[str]:
+        """Put words into the young generation; False for those that may not be cut off.
 
-    def learn(self, known: dict, new: list[str], lead: str) -> list[str]:
-        """Add stretches to ``known``; None for those that may not be cut off. Returns the long ones."""
-        safe = [w for w in new if w and not w[0].isspace() and not w[-1].isspace() and "<|" not in w]
-        known.update(dict.fromkeys(new))
-        known.update(zip(safe, self.whole([lead + w for w in safe]), strict=True))
-        return [w for w in new if len(w) > self.longest]
+        Returns the long ones, which are held for this batch only.
+        """
+        young, old = self.young, self.old
+        fresh, ended = [], []
+        for w in new:
+            if (known := old.get(w)) is not None:
+                young[w] = known
+            elif not w or w[0].isspace() or w[-1].isspace() or "<|" in w:
+                young[w] = False
+            elif w[-1] in ".," and len(w) > 1 and w[-2].isalpha() and w[-2] < "\u0250":
+                ended.append(w)  # a stop after a letter is a token of its own
+            else:
+                fresh.append(w)
+        stems = list({w[:-1] for w in ended}.difference(fresh, young))
+        fresh += [w for w in stems if w not in old]
+        young.update((w, old[w]) for w in stems if w in old)
+        young.update(zip(fresh, self.coded(fresh), strict=True))
+        for w in ended:
+            stem = young[w[:-1]]
+            young[w] = stem and stem + self.tails[w[-1]]
+        return [w for w in [*fresh, *ended] if len(w) > self.longest]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.words) + len(self.firsts) > self.most_words:
-            self.words.clear()
-            self.firsts.clear()
-        words, firsts = self.words, self.firsts
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        young = self.young
         cut = [(t or "").split(" ") for t in texts]
-        heads = [c.pop(0) for c in cut]
-        long_words = self.learn(words, list({w for c in cut for w in c if w not in words}), " ")
-        long_firsts = self.learn(firsts, list({w for w in heads if w not in firsts}), "")
-        out: list[bytes | None] = []
-        for text, head, rest in zip(texts, heads, cut, strict=True):
+        heads = self.whole([c.pop(0) for c in cut])
+        parts = [list(map(young.get, c)) for c in cut]
+        gaps = [[i for i, x in enumerate(p) if x is None] for p in parts]
+        long = self.learn({c[i] for c, g in zip(cut, gaps, strict=True) for i in g})
+        out: list[bytes] = []
+        for text, head, words, part, gap in zip(texts, heads, cut, parts, gaps, strict=True):
+            for i in gap:
+                part[i] = young[words[i]]
+            # The head of a text with words after it must end like a word, too.
+            safe = not words or text[0] != " " and not head_end(text).isspace()
             try:
-                out.append(b"".join([firsts[head], *map(words.__getitem__, rest)]) if text else b"")
-            except TypeError:  # a stretch that may not be cut off
-                out.append(None)
-        odd = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
-            out[i] = x
-        for w in long_words:
-            words.pop(w, None)
-        for w in long_firsts:
-            firsts.pop(w, None)
+                out.append(head + b"".join(part) if safe else self.whole([text])[0])
+            except TypeError:  # a word that may not be cut off
+                out.append(self.whole([text])[0])
+        for w in long:
+            young.pop(w, None)
         return out
 
 
+def head_end(text: str) -> str:
+    """The character before the first space."""
+    return text[text.index(" ") - 1]
+
+
 def by_bytes(texts: list[str | None], most: int = 2_000_000):
     """Ranges of a batch's texts that hold about ``most`` characters each."""
     start = held = 0
