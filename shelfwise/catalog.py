@@ -57,7 +57,7 @@ def q_perf_rolling(spark, sf_dir):
     i = _inputs(spark, sf_dir)
     daily = performance.daily_performance(i.shopping_product_stats, i.geo_targets,
                                           i.language_codes)
-    return rounded(performance.rolling_performance(daily))
+    return rounded(performance.rolling_performance(daily).drop("offer_key"))
 
 
 def q_product_country_status(spark, sf_dir):
@@ -121,6 +121,14 @@ def q_benchmark_breakdown(spark, sf_dir):
     return rounded(pricing.benchmark_breakdown(_inventory(spark, sf_dir)))
 
 
+def q_price_benchmark_disapproved(spark, sf_dir):
+    return rounded(pricing.price_benchmark(_inventory(spark, sf_dir), disapproved_only=True))
+
+
+def q_price_suggestion_disapproved(spark, sf_dir):
+    return rounded(pricing.price_suggestion(_inventory(spark, sf_dir), disapproved_only=True))
+
+
 def q_focus_brands(spark, sf_dir):
     return rounded(pricing.focus_brands(_inventory(spark, sf_dir)))
 
@@ -170,11 +178,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inventory_view": q_inventory_view,
     "best_sellers_view": q_best_sellers_view,
     "price_benchmark": q_price_benchmark,
+    "price_benchmark_disapproved": q_price_benchmark_disapproved,
     "price_benchmark_summary": q_price_benchmark_summary,
     "benchmark_breakdown": q_benchmark_breakdown,
     "focus_brands": q_focus_brands,
     "reactivation_list": q_reactivation_list,
     "price_suggestion": q_price_suggestion,
+    "price_suggestion_disapproved": q_price_suggestion_disapproved,
     "best_sellers_overview": q_best_sellers_overview,
     "best_sellers_details": q_best_sellers_details,
     "restock_list": q_restock_list,

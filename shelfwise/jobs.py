@@ -1,21 +1,20 @@
 """Jobs and sinks: daily rebuild of both views, incremental rebuild, snapshot
 ingestion with a refresh window, and backfill.
 
-Writes are date-partitioned Parquet. A full rebuild replaces the whole table
-(the views are rebuilt whole every day); the incremental rebuild and the
-snapshot ingestion replace only the days they produce (dynamic partition
-overwrite), so a rerun of the same days is idempotent and a lost executor
-only costs a task retry.
-
-The shared ad-performance sub-pipeline is materialised once per run with a
-reliable ``checkpoint()`` into the folder the cluster names in
-``spark.checkpoint.dir`` (never a machine-local folder), and both views read
-it.
+Writes are date-partitioned Parquet, staged and then moved in, so a failing
+run leaves the old days. A full rebuild replaces the whole table (the views are
+rebuilt whole every day); the incremental rebuild and the snapshot ingestion
+replace the days asked for, also those that have become empty, so a rerun of
+the same days is idempotent and a lost executor only costs task retries.
+
+The shared ad-performance sub-pipeline is written once per run as a table under
+the output root, and both views read it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,8 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import performance
-from shelfwise.plans import best_sellers, inventory
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.plans import best_sellers, inventory, popularity, pricing
 from shelfwise.sources.readers import (
     InputPaths,
     RetailInputs,
@@ -38,28 +36,67 @@ from shelfwise.sources.readers import (
 # frame starts 30 days earlier: D-31 ... D-1.
 AD_LOOKBACK_DAYS = performance.LONG_WINDOW_DAYS + 1
 
+PERFORMANCE_TABLE = "RollingPerformance"
 INVENTORY_TABLE = "InventoryView"
 BEST_SELLERS_TABLE = "BestSellerWeeklyProductView"
 
 
 def _day(value) -> dt.date:
-    return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
+    """The day of a date, a timestamp or their text."""
+    if isinstance(value, dt.datetime):
+        return value.date()
+    return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value)[:10])
 
 
 # ------------------------------------------------------------------ sinks
 
 def write_partitioned(df: DataFrame, path: str, replace_all: bool = True,
-                      partition_column: str = "date") -> None:
+                      partition_column: str = "date", days: list[dt.date] | None = None) -> None:
     """SK1/SK2: write ``df`` partitioned by day.
 
-    ``replace_all=True`` replaces the table (full rebuild); otherwise only
-    the days present in ``df`` are replaced (dynamic partition overwrite).
+    The rows are written to a staging folder first; only when all of them are
+    there do its days replace the table's, so a failing run leaves the old
+    table. ``replace_all=True`` also drops the days that ``df`` no longer has;
+    otherwise only those of ``days`` that it does not have.
+
+    Rows are rebalanced by day, which AQE splits by size, so a day gets files
+    of about the advisory size and not one from each task.
     """
-    mode = "static" if replace_all else "dynamic"
-    (df.write.mode("overwrite")
-     .option("partitionOverwriteMode", mode)
-     .partitionBy(partition_column)
-     .parquet(path))
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    (df.hint("rebalance", partition_column)
+     .write.partitionBy(partition_column).parquet(staging))
+    jvm = spark._jvm
+    folder, staged = (jvm.org.apache.hadoop.fs.Path(x) for x in (path, staging))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def day_folders(parent) -> set[str]:
+        names = (f.getPath().getName() for f in fs.listStatus(parent) if f.isDirectory())
+        return {n for n in names if n.startswith(f"{partition_column}=")}
+
+    old, new = day_folders(folder), day_folders(staged)
+    gone = old if replace_all else old & {f"{partition_column}={d.isoformat()}" for d in days or ()}
+    for name in sorted(new):
+        target = jvm.org.apache.hadoop.fs.Path(folder, name)
+        if name in old:
+            fs.delete(target, True)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged, name), target):
+            raise OSError(f"{staging}/{name} could not be moved to {path}")
+    for name in sorted(gone - new):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, name), True)
+    fs.delete(staged, True)
+    fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+
+
+def _has_days(spark: SparkSession, path: str) -> bool:
+    """Whether a written table has any day (a table without rows has no files to read)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(folder) and any("=" in f.getPath().getName() for f in fs.listStatus(folder))
+
+
+def _days(start: dt.date, end: dt.date) -> list[dt.date]:
+    return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
 
 
 def load_dimension(spark: SparkSession, csv_path: str, table_path: str, kind: str) -> None:
@@ -72,7 +109,16 @@ def load_dimension(spark: SparkSession, csv_path: str, table_path: str, kind: st
 def ingest_snapshot(df: DataFrame, path: str, day, partition_column: str = "partition_date") -> None:
     """SK5: store one day's export as the partition ``day`` (replacing it)."""
     rows = df.withColumn(partition_column, F.lit(_day(day)))
-    write_partitioned(rows, path, replace_all=False, partition_column=partition_column)
+    write_partitioned(rows, path, replace_all=False, partition_column=partition_column,
+                      days=[_day(day)])
+
+
+def _replace_days(rows: DataFrame, path: str, start: dt.date, end: dt.date,
+                  partition_column: str) -> None:
+    """Replace the days ``start .. end``; timestamps are truncated to their day."""
+    rows = rows.withColumn(partition_column, F.col(partition_column).cast("date"))
+    write_partitioned(restrict_days(rows, start, end, partition_column), path, replace_all=False,
+                      partition_column=partition_column, days=_days(start, end))
 
 
 def refresh_window(export: Callable[[dt.date, dt.date], DataFrame], path: str, day,
@@ -84,8 +130,7 @@ def refresh_window(export: Callable[[dt.date, dt.date], DataFrame], path: str, d
     """
     end = _day(day)
     start = end - dt.timedelta(days=window_days)
-    rows = restrict_days(export(start, end), start, end, partition_column)
-    write_partitioned(rows, path, replace_all=False, partition_column=partition_column)
+    _replace_days(export(start, end), path, start, end, partition_column)
 
 
 def backfill(export: Callable[[dt.date, dt.date], DataFrame], path: str, day,
@@ -93,17 +138,19 @@ def backfill(export: Callable[[dt.date, dt.date], DataFrame], path: str, day,
     """SK7: ingest the ``days`` whole days before ``day`` in one job."""
     end = _day(day) - dt.timedelta(days=1)
     start = end - dt.timedelta(days=days - 1)
-    rows = restrict_days(export(start, end), start, end, partition_column)
-    write_partitioned(rows, path, replace_all=False, partition_column=partition_column)
+    _replace_days(export(start, end), path, start, end, partition_column)
 
 
 # ------------------------------------------------------------------- jobs
 
-def shared_performance(spark: SparkSession, inputs: RetailInputs) -> DataFrame:
-    """The rolling performance keyed for the product join, checkpointed once
-    (reliable checkpoint in ``spark.checkpoint.dir``) for both views."""
-    ensure_checkpoint_dir(spark)
-    return inventory.rolling_for_join(inputs).checkpoint(eager=True)
+def shared_performance(spark: SparkSession, inputs: RetailInputs, output_root: str) -> DataFrame:
+    """The rolling performance keyed for the product join, written once as a
+    date-partitioned table under the output root, which the next run replaces;
+    both views read it with column pruning."""
+    path = f"{output_root.rstrip('/')}/{PERFORMANCE_TABLE}"
+    rolling = inventory.rolling_for_join(inputs)
+    write_partitioned(rolling, path)
+    return spark.read.schema(rolling.schema).parquet(path)
 
 
 def incremental_inputs(inputs: RetailInputs, start, end) -> RetailInputs:
@@ -155,13 +202,44 @@ def run_daily(spark: SparkSession, cfg: DailyConfig) -> None:
         ads_start = _day(cfg.start) - dt.timedelta(days=AD_LOOKBACK_DAYS)
     inputs = read_inputs(spark, cfg.inputs, cfg.start, cfg.end, ads_start=ads_start,
                          geo_csv=cfg.geo_csv, language_csv=cfg.language_csv)
-    rolling = shared_performance(spark, inputs)
+    rolling = shared_performance(spark, inputs, cfg.output_root)
     replace_all = cfg.start is None and cfg.end is None
     root = cfg.output_root.rstrip("/")
+    days = _days(_day(cfg.start), _day(cfg.end)) if cfg.start and cfg.end else None
     write_partitioned(inventory.inventory_view(inputs, rolling),
-                      f"{root}/{INVENTORY_TABLE}", replace_all)
+                      f"{root}/{INVENTORY_TABLE}", replace_all, days=days)
     write_partitioned(best_sellers.best_sellers_view(inputs, rolling),
-                      f"{root}/{BEST_SELLERS_TABLE}", replace_all)
+                      f"{root}/{BEST_SELLERS_TABLE}", replace_all, days=days)
+
+
+MARTS = {
+    INVENTORY_TABLE: {
+        "price_benchmark": pricing.price_benchmark,
+        "price_benchmark_summary": pricing.price_benchmark_summary,
+        "benchmark_breakdown": pricing.benchmark_breakdown,
+        "focus_brands": pricing.focus_brands,
+        "reactivation_list": pricing.reactivation_list,
+        "price_suggestion": pricing.price_suggestion,
+    },
+    BEST_SELLERS_TABLE: {
+        "best_sellers_overview": popularity.best_sellers_overview,
+        "best_sellers_details": popularity.best_sellers_details,
+        "restock_list": popularity.restock_list,
+        "cluster_gtins": popularity.cluster_gtins,
+    },
+}
+
+
+def build_marts(spark: SparkSession, output_root: str, date=None) -> None:
+    """Build every mart from the written views (no view is computed again) and
+    write it partitioned by day; ``date`` builds one day (or ``"latest"``)."""
+    root = output_root.rstrip("/")
+    for table, marts in MARTS.items():
+        if not _has_days(spark, f"{root}/{table}"):
+            continue
+        view = spark.read.parquet(f"{root}/{table}")
+        for name, mart in marts.items():
+            write_partitioned(mart(view, date), f"{root}/marts/{name}", replace_all=date is None)
 
 
 def register_views(spark: SparkSession, output_root: str) -> None:

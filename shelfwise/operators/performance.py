@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from shelfwise.functions import resource_id
 from shelfwise.operators import dims
 from shelfwise.schemas import ROLLING_METRICS
-from shelfwise.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 PERF_KEYS = ["merchant_id", "channel", "offer_id", "language_code", "target_country"]
 # Keys of the product-side join: merchant, lower-case offer, country,
@@ -29,16 +28,14 @@ LONG_WINDOW_DAYS = 30
 SHORT_WINDOW_DAYS = 7
 
 
-def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataFrame,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataFrame) -> DataFrame:
     """Sum the ad metrics per day, transfer run, merchant, channel, item,
     language and country. Rows without an item id, or whose country/language
-    id matches no dimension row, are dropped (inner joins). The reduced
-    dimensions are broadcast when they have at most ``max_broadcast_rows``."""
-    geo = broadcast_if_small(dims.geo_countries(geo_targets), max_broadcast_rows,
-                             bound=geo_targets)
-    lang = broadcast_if_small(dims.language_codes(languages), max_broadcast_rows,
-                              bound=languages)
+    id matches no dimension row, are dropped (inner joins). Both
+    dimensions are published reference lists (places and languages), whose size does not
+    depend on the data, so they are broadcast."""
+    geo = F.broadcast(dims.geo_countries(geo_targets))
+    lang = F.broadcast(dims.language_codes(languages))
     s = (stats.where(F.col("segments_product_item_id").isNotNull())
          .select(
              "data_date", "latest_date",
@@ -63,12 +60,15 @@ def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataF
 def rolling_performance(daily: DataFrame) -> DataFrame:
     """Rolling sums over RANGE frames of 30 and 7 preceding days (same-day rows
     are peers, so rows of several transfer runs share one value)."""
-    order = Window.partitionBy(*PERF_KEYS).orderBy(F.unix_date("data_date"))
+    # One partitioning serves the window and, after it, the merge and the product join.
+    daily = daily.withColumn("offer_key", F.lower("offer_id")).repartition(
+        "merchant_id", "offer_key", "target_country", "language_code")
+    order = Window.partitionBy(*PERF_KEYS, "offer_key").orderBy(F.unix_date("data_date"))
     long_w = order.rangeBetween(-LONG_WINDOW_DAYS, 0)
     short_w = order.rangeBetween(-SHORT_WINDOW_DAYS, 0)
     sums = [F.sum(m).over(long_w).alias(f"{m}_30days") for m in DAILY_METRICS]
     sums += [F.sum(m).over(short_w).alias(f"{m}_7days") for m in DAILY_METRICS]
-    return daily.select(F.col("data_date").alias("date"), *PERF_KEYS, *sums)
+    return daily.select(F.col("data_date").alias("date"), *PERF_KEYS, "offer_key", *sums)
 
 
 def performance_for_snapshot_join(rolling: DataFrame) -> DataFrame:
@@ -78,14 +78,14 @@ def performance_for_snapshot_join(rolling: DataFrame) -> DataFrame:
     Channel and transfer run are not join keys, so several rows per key can
     exist; rows equal in all ten metrics are merged here, which the final
     DISTINCT of both views would do anyway (it shrinks the join fan-out).
-    The rows are hash partitioned on the join keys first, so the merge and
-    the join that follows share one shuffle.
+    The merge and the join that follows reuse the window's partitioning, whose
+    keys are among theirs.
     """
     keyed = rolling.select(
         "merchant_id",
-        F.lower("offer_id").alias("offer_key"),
+        "offer_key",
         F.col("target_country").alias("targeted_country"),
         F.col("language_code").alias("content_language"),
         F.date_add("date", 1).alias("date"),
         *ROLLING_METRICS)
-    return keyed.repartition(*SNAPSHOT_JOIN_KEYS).dropDuplicates()
+    return keyed.dropDuplicates()

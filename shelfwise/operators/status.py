@@ -35,6 +35,18 @@ def targeted_countries(destination: Column) -> Column:
         array_or_empty(destination["disapproved_countries"])))
 
 
+def country_statuses(destinations: Column) -> Column:
+    """All (targeted_country, is_disapproved) of a product's Shopping destinations, as one array."""
+    def of(destination):
+        countries = targeted_countries(destination)
+        listed = F.when(F.size(countries) > 0, countries).otherwise(F.array(F.lit(None).cast("string")))
+        return F.transform(listed, lambda c: F.struct(
+            c.alias("targeted_country"),
+            F.coalesce(F.array_contains(destination["disapproved_countries"], c), F.lit(False))
+            .alias("is_disapproved")))
+    return F.flatten(F.transform(shopping_destinations(F.coalesce(destinations, F.array())), of))
+
+
 def product_status(products: DataFrame, date_column: str = "partition_date") -> DataFrame:
     """One row per product and Shopping destination (``ProductStatus``)."""
     exploded = products.select(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.plans.pricing import on_date, top_k_per_date
+from shelfwise.schemas import ROLLING_METRICS
 
 # Availability labels from the two inventory-status codes.
 # The codes are those of the best-seller report; pass another mapping if the
@@ -82,20 +83,25 @@ def best_sellers_details(best_sellers: DataFrame, date=None, codes: dict | None
     attributes, availability, rank change, own offers, share of disapproved
     offers and 30-day clicks, conversions, conversion rate and ROAS."""
     df = on_date(best_sellers, date)
-    per_offer = (df.groupBy(*CLUSTER_COLUMNS, "offer_id")
-                 .agg(F.max(F.coalesce("is_disapproved", F.lit(False))).alias("disapproved"),
-                      F.sum("clicks_30days").alias("clicks"),
-                      F.sum("conversions_30days").alias("conversions"),
-                      F.sum("cost_30days").alias("cost"),
-                      F.sum("conversions_value_30days").alias("conversions_value")))
-    per_cluster = (per_offer.groupBy(*CLUSTER_COLUMNS)
-                   .agg(F.count("offer_id").alias("offers_in_inventory"),
-                        F.sum(F.when(F.col("offer_id").isNotNull() & F.col("disapproved"), 1)
-                              .otherwise(0)).cast("bigint").alias("disapproved_offers"),
-                        F.sum("clicks").alias("clicks_30days"),
-                        F.sum("conversions").alias("conversions_30days"),
-                        F.sum("cost").alias("cost_30days"),
-                        F.sum("conversions_value").alias("conversions_value_30days")))
+    # Two distinct counts in one pass: the view repeats a performance row for each of a
+    # product's Shopping destinations, so performance is distinct without disapproval, and
+    # offers are distinct per merchant.
+    metrics = {c: df.schema[c].dataType for c in ROLLING_METRICS}
+    none = [F.lit(None).cast(t).alias(c) for c, t in metrics.items()]
+    flag = F.coalesce("is_disapproved", F.lit(False))
+    both = F.array(
+        F.struct(F.lit("performance").alias("kind"), F.lower("offer_id").alias("offer"),
+                 F.lit(False).alias("flag"), *[F.col(c) for c in metrics]),
+        F.struct(F.lit("offer").alias("kind"), F.col("offer_id").alias("offer"), flag.alias("flag"), *none))
+    once = (df.select(*CLUSTER_COLUMNS, "merchant_id", F.inline(both))
+            .groupBy(*CLUSTER_COLUMNS, "merchant_id", "kind", "offer", *metrics)
+            .agg(F.max("flag").alias("disapproved")))
+    is_offer = (F.col("kind") == "offer") & F.col("offer").isNotNull()
+    per_cluster = (once.groupBy(*CLUSTER_COLUMNS)
+                   .agg(F.count(F.when(is_offer, 1)).alias("offers_in_inventory"),
+                        F.count(F.when(is_offer & F.col("disapproved"), 1)).alias("disapproved_offers"),
+                        *[F.sum(c).alias(c) for c in ("clicks_30days", "conversions_30days",
+                                                      "cost_30days", "conversions_value_30days")]))
     return per_cluster.select(
         "date", "country_code", "report_category_id", "entity_id", "title", "brand",
         category_label().alias("category"),
@@ -111,7 +117,7 @@ def best_sellers_details(best_sellers: DataFrame, date=None, codes: dict | None
     )
 
 
-def restock_list(best_sellers: DataFrame, date=None, k: int = 100,
+def restock_list(best_sellers: DataFrame, date=None, k: int | None = None,
                  codes: dict | None = None) -> DataFrame:
     """MA21: high-demand popular products the merchant has but out of stock,
     best rank first."""

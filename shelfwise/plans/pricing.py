@@ -2,15 +2,18 @@
 reactivation list, price suggestion).
 
 Conventions (decisions the dashboard text leaves open):
-* price position uses ``ratio = current_price / benchmark_price``:
-  cheaper if ``ratio <= 0.99``, more expensive if ``ratio >= 1.01``,
-  similar otherwise, so the three classes are disjoint;
-* counts are of distinct (product, country) pairs with a benchmark, because
-  the view can repeat a pair (one row per ad channel / item-id case);
-* every mart is per snapshot ``date``; pass ``date`` to keep one day.
-* top-k lists rank within each date with ``row_number() <= k`` over a total
-  order; Spark computes such a limit per partition before the shuffle
-  (window group limit), so no group is ever gathered whole.
+* price position compares integer micros, so the band edges are exact:
+  cheaper if ``price * 100 <= benchmark * 99``, more expensive if
+  ``price * 100 >= benchmark * 101``, similar otherwise; no price or a zero
+  benchmark has no position;
+* counts are of distinct (merchant, product, country) pairs with a benchmark,
+  because the view can repeat a pair (one row per ad channel / item-id case);
+  a pair whose rows differ in position counts once, under its dearest row:
+  more expensive, else similar, else cheaper;
+* every mart is per snapshot ``date``: ``None`` gives all dates;
+* lists are complete. ``k`` (default ``None``) keeps the first ``k`` rows of
+  each date and adds their ``position``; Spark computes such a limit per
+  partition before the shuffle (window group limit).
 """
 
 from __future__ import annotations
@@ -22,11 +25,11 @@ CHEAPER = "cheaper"
 MORE_EXPENSIVE = "more_expensive"
 SIMILAR = "similar"
 
-# The +-1% band of the price position.
-CHEAPER_MAX_RATIO = 0.99
-MORE_EXPENSIVE_MIN_RATIO = 1.01
+# The +-1% band of the price position, in percent of the benchmark.
+CHEAPER_MAX_PERCENT = 99
+MORE_EXPENSIVE_MIN_PERCENT = 101
 
-DEFAULT_TOP_K = 100
+CUSTOM_LABELS = [f"custom_label_{i}" for i in range(5)]
 
 
 def on_date(df: DataFrame, date) -> DataFrame:
@@ -48,15 +51,28 @@ def price_ratio() -> Column:
     return F.try_divide(F.col("current_price").cast("double"), F.col("benchmark_price"))
 
 
-def price_position(ratio: Column | None = None) -> Column:
-    r = price_ratio() if ratio is None else ratio
-    return (F.when(r <= F.lit(CHEAPER_MAX_RATIO), F.lit(CHEAPER))
-            .when(r >= F.lit(MORE_EXPENSIVE_MIN_RATIO), F.lit(MORE_EXPENSIVE))
-            .when(r.isNotNull(), F.lit(SIMILAR)))
+def micros(price: Column) -> Column:
+    return F.round(price.cast("double") * 1e6).cast("bigint")
 
 
-def top_k_per_date(df: DataFrame, order: list[Column], k: int, rank_name: str = "position") -> DataFrame:
-    """Keep the first ``k`` rows of each date under a total order."""
+def price_position() -> Column:
+    price, benchmark = micros(F.col("current_price")) * 100, micros(F.col("benchmark_price"))
+    return (F.when(benchmark == 0, F.lit(None))
+            .when(price <= benchmark * CHEAPER_MAX_PERCENT, F.lit(CHEAPER))
+            .when(price >= benchmark * MORE_EXPENSIVE_MIN_PERCENT, F.lit(MORE_EXPENSIVE))
+            .when(price.isNotNull() & benchmark.isNotNull(), F.lit(SIMILAR)))
+
+
+def custom_labels() -> list[Column]:
+    return [F.col(f"additional_product_attributes.custom_labels.label_{i}").alias(name)
+            for i, name in enumerate(CUSTOM_LABELS)]
+
+
+def top_k_per_date(df: DataFrame, order: list[Column], k: int | None,
+                   rank_name: str = "position") -> DataFrame:
+    """All rows, or with ``k`` the first ``k`` rows of each date under a total order."""
+    if k is None:
+        return df
     w = Window.partitionBy("date").orderBy(*order)
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= k)
 
@@ -77,36 +93,33 @@ def _benchmark_rows(inventory: DataFrame, date=None, disapproved_only: bool = Fa
     return df.select(
         "date", "merchant_id", "product_id", "offer_id", "targeted_country", "is_disapproved",
         "title", "brand", F.col("final_category").alias("category"),
-        F.col("additional_product_attributes.custom_labels.label_0").alias("custom_label"),
+        *custom_labels(),
         F.col("current_price").cast("double").alias("current_price"), "benchmark_price",
         (F.col("current_price").cast("double") - F.col("benchmark_price")).alias("price_delta"),
         (ratio - F.lit(1.0)).alias("relative_delta"),
-        price_position(ratio).alias("price_position"),
+        price_position().alias("price_position"),
     )
 
 
 def _class_counts(per_pair: DataFrame, keys: list[str]) -> DataFrame:
-    """Level 2 of the distinct count: one input row per (keys, product, country)."""
-    total = F.count(F.lit(1))
-    cheaper = F.sum(F.col("is_cheaper").cast("bigint"))
-    dearer = F.sum(F.col("is_more_expensive").cast("bigint"))
-    similar = F.sum(F.col("is_similar").cast("bigint"))
+    """Level 2 of the distinct count: one input row, with one class, per (keys, pair)."""
+    counts = {CHEAPER: "cheaper_products", MORE_EXPENSIVE: "more_expensive_products",
+              SIMILAR: "similar_products"}
+    total = F.col("products_with_benchmark")
     return (per_pair.groupBy(*keys)
-            .agg(total.alias("products_with_benchmark"), cheaper.alias("cheaper_products"),
-                 dearer.alias("more_expensive_products"), similar.alias("similar_products"))
-            .withColumn("pct_cheaper", F.col("cheaper_products") / F.col("products_with_benchmark"))
-            .withColumn("pct_more_expensive",
-                        F.col("more_expensive_products") / F.col("products_with_benchmark"))
-            .withColumn("pct_similar", F.col("similar_products") / F.col("products_with_benchmark")))
+            .agg(F.count(F.lit(1)).alias("products_with_benchmark"),
+                 *[F.count(F.when(F.col("price_position") == c, 1)).alias(n) for c, n in counts.items()])
+            .withColumn("pct_cheaper", F.col("cheaper_products") / total)
+            .withColumn("pct_more_expensive", F.col("more_expensive_products") / total)
+            .withColumn("pct_similar", F.col("similar_products") / total))
 
 
 def _per_pair(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Level 1: one row per (keys, product, country) with class flags."""
+    """Level 1: one row per (keys, merchant, product, country) with the class of its dearest row."""
     pos = F.col("price_position")
-    return (rows.groupBy(*keys, "product_id", "targeted_country")
-            .agg(F.max(pos == F.lit(CHEAPER)).alias("is_cheaper"),
-                 F.max(pos == F.lit(MORE_EXPENSIVE)).alias("is_more_expensive"),
-                 F.max(pos == F.lit(SIMILAR)).alias("is_similar")))
+    order = F.when(pos == MORE_EXPENSIVE, 3).when(pos == SIMILAR, 2).when(pos == CHEAPER, 1)
+    return (rows.groupBy(*keys, "merchant_id", "product_id", "targeted_country")
+            .agg(F.max_by(pos, order).alias("price_position")))
 
 
 def price_benchmark_summary(inventory: DataFrame, date=None) -> DataFrame:
@@ -117,22 +130,22 @@ def price_benchmark_summary(inventory: DataFrame, date=None) -> DataFrame:
     return _class_counts(_per_pair(rows, keys), keys)
 
 
-BREAKDOWN_DIMENSIONS = ("brand", "custom_label", "category")
+BREAKDOWN_DIMENSIONS = ("brand", *CUSTOM_LABELS, "category")
 
 
 def benchmark_breakdown(inventory: DataFrame, date=None) -> DataFrame:
-    """MA7: MA3 + MA4 per brand, per custom label and per category, in one pass
+    """MA7: MA3 + MA4 per brand, per each of the five custom labels and per category, in one pass
     (each product row is expanded once per dimension, like GROUPING SETS)."""
     rows = _benchmark_rows(inventory, date)
     dims = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"))
                      for d in BREAKDOWN_DIMENSIONS])
-    expanded = rows.select("date", "product_id", "targeted_country", "price_position",
+    expanded = rows.select("date", "merchant_id", "product_id", "targeted_country", "price_position",
                            F.inline(dims))
     keys = ["date", "dimension", "value"]
     return _class_counts(_per_pair(expanded, keys), keys)
 
 
-def focus_brands(inventory: DataFrame, date=None, k: int = 20) -> DataFrame:
+def focus_brands(inventory: DataFrame, date=None, k: int | None = None) -> DataFrame:
     """MA8: brands with the largest share priced above the benchmark."""
     brands = benchmark_breakdown(inventory, date).where(F.col("dimension") == "brand")
     order = [F.col("pct_more_expensive").desc_nulls_last(),
@@ -141,12 +154,12 @@ def focus_brands(inventory: DataFrame, date=None, k: int = 20) -> DataFrame:
     return top_k_per_date(brands.drop("dimension").withColumnRenamed("value", "brand"), order, k)
 
 
-def reactivation_list(inventory: DataFrame, date=None, k: int = DEFAULT_TOP_K) -> DataFrame:
+def reactivation_list(inventory: DataFrame, date=None, k: int | None = None) -> DataFrame:
     """MA6: disapproved products priced at or below the benchmark, most
     impressions first."""
     df = on_date(inventory, date).where(
         F.col("is_disapproved")
-        & (F.col("current_price").cast("double") <= F.col("benchmark_price")))
+        & (micros(F.col("current_price")) <= micros(F.col("benchmark_price"))))
     rows = df.select(
         "date", "merchant_id", "product_id", "offer_id", "targeted_country", "title", "brand",
         F.col("current_price").cast("double").alias("current_price"), "benchmark_price",
@@ -160,7 +173,7 @@ def reactivation_list(inventory: DataFrame, date=None, k: int = DEFAULT_TOP_K) -
 
 
 def price_suggestion(inventory: DataFrame, date=None, disapproved_only: bool = False,
-                     k: int = DEFAULT_TOP_K) -> DataFrame:
+                     k: int | None = None) -> DataFrame:
     """MA9-MA11: suggested price with predicted extra 30-day clicks and
     conversions (uplift x last 30 days), highest potential first."""
     df = on_date(inventory, date).where(F.col("suggested_price").isNotNull())
@@ -169,7 +182,7 @@ def price_suggestion(inventory: DataFrame, date=None, disapproved_only: bool = F
     rows = df.select(
         "date", "merchant_id", "product_id", "offer_id", "targeted_country", "is_disapproved",
         "brand", F.col("final_category").alias("category"),
-        F.col("additional_product_attributes.custom_labels.label_0").alias("custom_label"),
+        *custom_labels(),
         F.col("current_price").cast("double").alias("current_price"), "suggested_price",
         "predicted_clicks_change_fraction", "predicted_conversions_change_fraction",
         "clicks_30days", "conversions_30days",
@@ -182,7 +195,7 @@ def price_suggestion(inventory: DataFrame, date=None, disapproved_only: bool = F
              F.col("predicted_conversions_30days").desc_nulls_last(),
              *[F.col(c).asc_nulls_first() for c in (
                  "product_id", "targeted_country", "is_disapproved", "merchant_id", "offer_id",
-                 "brand", "category", "custom_label", "current_price", "suggested_price",
+                 "brand", "category", *CUSTOM_LABELS, "current_price", "suggested_price",
                  "predicted_clicks_change_fraction", "predicted_conversions_change_fraction",
                  "clicks_30days", "conversions_30days")]]
     return top_k_per_date(rows, order, k)

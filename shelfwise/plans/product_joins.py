@@ -8,10 +8,10 @@ Shuffle plan (the product rows are the widest and largest input):
    ``spark.sql.requireAllClusterKeysForCoPartition=false`` each join (and
    the views' final DISTINCT) reuses this partitioning; product ids are
    unique per day, so the partitioning is not skewed.
-2. Country status is exploded from the same product rows (Spark prunes
-   that branch to key + destinations, a narrow shuffle on the same keys);
-   together with each product row's offer key and language the status rows
-   form a narrow side, joined without a further shuffle.
+2. Offer variants and country statuses are gathered from the same product
+   rows in one pass (Spark prunes that branch to key, offer, language and
+   destinations, a narrow shuffle on the same keys): the narrow side. So the
+   products are read twice, wide and narrow.
 3. Only the narrow side is shuffled to meet the ad performance (keyed by
    offer, country, language, day) and back.
 4. The wide rows then join the narrow side, the benchmark and the price
@@ -54,10 +54,20 @@ def partitioned_products(products: DataFrame, only: DataFrame | None = None) ->
 
 
 def status_with_performance(products: DataFrame, perf: DataFrame) -> DataFrame:
-    """Narrow side: (product key, offer variant) x status row x performance."""
-    country_status = status.product_country_status(products, date_column="date")
-    variants = products.select(*PRODUCT_KEY, *VARIANT)
-    narrow = variants.join(country_status, PRODUCT_KEY, "inner")
+    """Narrow side: (product key, offer variant) x status row x performance.
+
+    Variants and statuses of a product key are gathered in one pass over the
+    products: both sets are bounded by the rows and countries of one key, and
+    the grouping reuses the products' partitioning.
+    """
+    narrow = (products.select(*PRODUCT_KEY, F.struct(*VARIANT).alias("variant"),
+                              status.country_statuses(F.col("destinations")).alias("statuses"))
+              .dropna(subset=PRODUCT_KEY)
+              .groupBy(*PRODUCT_KEY)
+              .agg(F.collect_set("variant").alias("variants"), F.collect_set("statuses").alias("statuses")))
+    narrow = (narrow.select(*PRODUCT_KEY, F.array_distinct(F.flatten("statuses")).alias("statuses"),
+                            F.inline("variants"))
+              .select(*PRODUCT_KEY, *VARIANT, F.inline("statuses")))
     return narrow.join(perf, SNAPSHOT_JOIN_KEYS, "left")
 
 

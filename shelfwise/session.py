@@ -40,7 +40,6 @@ def configure(spark: SparkSession) -> SparkSession:
         if key in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             continue
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 

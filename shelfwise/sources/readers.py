@@ -74,11 +74,42 @@ def restrict_days(df: DataFrame, start: DateLike = None, end: DateLike = None,
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
                start: DateLike = None, end: DateLike = None,
                date_column: str = "partition_date") -> DataFrame:
-    """Scan a daily Parquet table with a fixed schema and an optional day range."""
+    """Scan a daily Parquet table with a fixed schema and an optional day range.
+
+    Raises ``ValueError`` where the files lack a column or have it in another type.
+    """
+    try:
+        check_schema(spark.read.parquet(path).schema, schema, path)
+    except AnalysisException as exc:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(exc):  # a table whose days are all empty
+            raise
     df = spark.read.schema(schema).parquet(path)
     return restrict_days(df, start, end, date_column)
 
 
+# Types that Parquet reads as a wider one without loss.
+WIDENED = {("int", "bigint"), ("smallint", "int"), ("smallint", "bigint"), ("float", "double"),
+           ("int", "double")}
+
+
+def _faults(found: T.DataType, wanted: T.DataType, name: str) -> list[str]:
+    if isinstance(wanted, T.StructType) and isinstance(found, T.StructType):
+        have = {f.name: f.dataType for f in found.fields}
+        return [x for f in wanted.fields for x in (
+            _faults(have[f.name], f.dataType, f"{name}.{f.name}" if name else f.name)
+            if f.name in have else [f"{name}.{f.name} is missing".lstrip(".")])]
+    if isinstance(wanted, T.ArrayType) and isinstance(found, T.ArrayType):
+        return _faults(found.elementType, wanted.elementType, f"{name}[]")
+    pair = found.simpleString(), wanted.simpleString()
+    return [] if pair[0] == pair[1] or pair in WIDENED else [f"{name} is {pair[0]}, not {pair[1]}"]
+
+
+def check_schema(found: T.StructType, wanted: T.StructType, path: str) -> None:
+    """Raise if a required column is missing or mistyped: it would read as NULLs."""
+    if faults := _faults(found, wanted, ""):
+        raise ValueError(f"{path}: {'; '.join(faults)}")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   start: DateLike = None, end: DateLike = None,
                   date_column: str = "partition_date") -> DataFrame:
@@ -88,8 +119,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
     the pipeline must still build (with no best-seller rows) without them.
     """
     try:
-        df = spark.read.schema(schema).parquet(path)
-        df.schema  # noqa: B018  (resolves the path now)
+        return read_table(spark, path, schema, start, end, date_column)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
             raise

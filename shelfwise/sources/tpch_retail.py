@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schemas
-from shelfwise.sources.readers import RetailInputs
+from shelfwise.sources.readers import RetailInputs, read_table
 
 # Fixed values of the derivation (they must agree with the oracle SQL).
 BASE_DAY = "2024-01-01"          # day 0 of the events calendar
@@ -79,7 +79,8 @@ SOURCE_SCHEMAS = {
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    schema = T.StructType.fromDDL(SOURCE_SCHEMAS[name])
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", schema)
 
 
 def shopping_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from conftest import SF_SMALL, D, frame, inputs, product, rows, stat
+import pytest
+
+from conftest import SF_SMALL, D, benchmark, frame, inputs, product, rows, stat
 
 from shelfwise import jobs, schemas
 from shelfwise.plans import inventory
@@ -135,3 +137,50 @@ def test_read_inputs_with_account_table_names(spark, tmp_dir):
     assert rows(i.products, "partition_date") == [(D(2024, 1, 3),)]
     assert rows(i.shopping_product_stats, "data_date") == [(D(2024, 1, 2),), (D(2024, 1, 3),)]
     assert i.best_sellers_clusters.count() == 0        # never delivered: empty fallback
+
+
+def test_a_day_that_became_empty_goes(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "products")
+
+    def export(days):
+        return lambda start, end: frame(spark, [product(day=D(2024, 1, d)) for d in days], schemas.PRODUCTS)
+
+    jobs.refresh_window(export((1, 2, 3)), path, "2024-01-03", window_days=2)
+    jobs.refresh_window(export((2,)), path, "2024-01-02T10:00:00", window_days=1)
+    got = readers.read_table(spark, path, schemas.PRODUCTS)
+    assert rows(got, "partition_date") == [(D(2024, 1, 2),), (D(2024, 1, 3),)]
+
+
+def test_a_failing_run_keeps_the_old_table(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    old = spark.sql("SELECT 1 AS x, DATE'2024-01-01' AS date")
+    jobs.write_partitioned(old, path)
+    bad = spark.sql("SELECT raise_error('no') AS x, DATE'2024-01-01' AS date")
+    with pytest.raises(Exception):
+        jobs.write_partitioned(bad, path)
+    assert rows(spark.read.parquet(path), "x") == [(1,)]
+
+
+def test_a_day_is_written_to_few_files(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    many = spark.range(2000).repartition(16).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 3 AS INT)) AS date")
+    jobs.write_partitioned(many, path)
+    for day in (1, 2, 3):
+        files = [f for f in os.listdir(os.path.join(path, f"date=2024-01-0{day}")) if f.endswith(".parquet")]
+        assert len(files) == 1
+
+
+def test_a_wrong_schema_raises(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    frame(spark, [product()], schemas.PRODUCTS).withColumnRenamed("product_id", "pid").write.parquet(path)
+    with pytest.raises(ValueError, match="product_id is missing"):
+        readers.read_table(spark, path, schemas.PRODUCTS)
+
+
+def test_marts_are_built_from_the_written_views(spark, tmp_dir):
+    view = inventory.inventory_view(inputs(spark, products=[product()], stats=[stat(D(2024, 1, 9))],
+                                           pc=[benchmark(D(2024, 1, 10), "online:1", "US", 9_000_000)]))
+    jobs.write_partitioned(view, os.path.join(tmp_dir, jobs.INVENTORY_TABLE))
+    jobs.build_marts(spark, tmp_dir)
+    built = spark.read.parquet(os.path.join(tmp_dir, "marts", "price_benchmark_summary"))
+    assert built.count() == 1

@@ -51,7 +51,8 @@ def test_breakdown_by_dimension(spark):
     got = rows(pricing.benchmark_breakdown(inv), "dimension", "value", "products_with_benchmark",
                "more_expensive_products")
     assert got == [("brand", "B0", 2, 0), ("brand", "B1", 1, 1), ("category", "Cars", 3, 1),
-                   ("custom_label", "L0", 3, 1)]
+                   ("custom_label_0", "L0", 3, 1),
+                   *[(f"custom_label_{i}", None, 3, 1) for i in range(1, 5)]]
     top = pricing.focus_brands(inv, k=1).collect()
     assert [(r["brand"], r["position"]) for r in top] == [("B1", 1)]
 
@@ -60,8 +61,8 @@ def test_reactivation_list(spark):
     prev = D(2024, 1, 9)
     inv = _inventory(spark, [(99.0, 100_000_000), (120.0, 100_000_000)],
                      stats=[stat(prev, item="SKU0", clicks=1)])
-    got = rows(pricing.reactivation_list(inv), "product_id", "impressions_30days", "position")
-    assert got == [("p0", 1, 1)]
+    got = rows(pricing.reactivation_list(inv), "product_id", "impressions_30days")
+    assert got == [("p0", 1)]
 
 
 def test_price_suggestion_uplift_and_order(spark):
@@ -117,7 +118,8 @@ def test_details_availability_and_offers(spark):
 
 def test_restock_and_gtins(spark):
     bs = _best_sellers(spark)
-    assert rows(popularity.restock_list(bs), "entity_id", "position") == [("e2", 1)]
+    assert rows(popularity.restock_list(bs), "entity_id") == [("e2",)]
+    assert rows(popularity.restock_list(bs, k=1), "entity_id", "position") == [("e2", 1)]
     got = rows(popularity.cluster_gtins(bs), "entity_id", "gtin")
     assert got == [("e1", "1"), ("e1", "2"), ("e2", "1"), ("e2", "2"), ("e3", "1"), ("e3", "2")]
 
@@ -130,3 +132,43 @@ def test_latest_date_filter(spark):
     assert {r["date"] for r in pricing.price_benchmark(inv).collect()} == set(days)
     assert [r["date"] for r in pricing.price_benchmark(inv, date="latest").collect()] == [days[1]]
     assert [r["date"] for r in pricing.price_benchmark(inv, date="2024-01-09").collect()] == [days[0]]
+
+
+def test_price_position_is_exact_at_the_edge(spark):
+    inv = _inventory(spark, [(2.97, 3_000_000), (3.03, 3_000_000), (2.9701, 3_000_000)])
+    got = rows(pricing.price_benchmark(inv), "product_id", "price_position")
+    assert got == [("p0", "cheaper"), ("p1", "more_expensive"), ("p2", "similar")]
+
+
+def test_merchants_with_the_same_product_id_are_two_pairs(spark):
+    products = [product(pid="p", merchant=m, price=p, destinations=[destination(approved=["US"])])
+                for m, p in ((1, 50.0), (2, 200.0))]
+    pc = [benchmark(SNAP, "p", "US", 100_000_000, merchant=m) for m in (1, 2)]
+    got = pricing.price_benchmark_summary(inventory.inventory_view(inputs(spark, products=products, pc=pc))).first()
+    assert (got["products_with_benchmark"], got["pct_cheaper"], got["pct_more_expensive"]) == (2, 0.5, 0.5)
+
+
+def test_contradicting_destinations_do_not_double_clicks(spark):
+    products = [product(pid="p1", offer="Sku1", destinations=[
+        destination(approved=["US"]), destination(approved=["US"], disapproved=["US"])])]
+    view = best_sellers.best_sellers_view(inputs(
+        spark, products=products, stats=[stat(D(2024, 1, 9), item="SKU1", clicks=7)],
+        clusters=[_cluster("e1")], mapping=[{"partition_date": SNAP, "entity_id": "e1", "product_id": "p1"}]))
+    assert view.count() == 2
+    got = popularity.best_sellers_details(view).first()
+    assert (got["clicks_30days"], got["offers_in_inventory"], got["disapproved_offers"]) == (7, 1, 1)
+
+
+def test_lists_are_complete(spark):
+    inv = _inventory(spark, [(99.0, 100_000_000)] * 30)
+    assert pricing.focus_brands(inv).count() == 2
+    assert "position" not in pricing.reactivation_list(inv).columns
+
+
+def test_unmapped_clusters_keep_null_products(spark):
+    view = best_sellers.best_sellers_view(inputs(
+        spark, products=[product(pid="p1", destinations=[destination(approved=["US"])])],
+        clusters=[_cluster("e1"), _cluster("e2"), _cluster("e3")],
+        mapping=[{"partition_date": SNAP, "entity_id": "e1", "product_id": "p1"},
+                 {"partition_date": SNAP, "entity_id": "e2", "product_id": None}]))
+    assert rows(view, "entity_id", "product_id") == [("e1", "p1"), ("e2", None), ("e3", None)]

@@ -44,16 +44,12 @@ def test_inventory_shuffles_wide_rows_once(spark):
     assert "Exchange" not in tree[3]
 
 
-def test_broadcast_only_below_the_bound(spark):
-    from shelfwise.operators.broadcast import broadcast_if_small, has_at_most
-
-    small = spark.range(3)
-    assert has_at_most(small, 3) and not has_at_most(small, 2)
-    big_side = spark.range(1000).withColumnRenamed("id", "k")
-    joined_small = big_side.join(broadcast_if_small(small, 3), big_side.k == small.id)
-    joined_large = big_side.join(broadcast_if_small(small, 2), big_side.k == small.id)
-    assert plan_nodes(joined_small, "BroadcastExchange") == 1
-    assert plan_nodes(joined_large, "BroadcastExchange") == 0
+def test_products_are_read_twice_not_three_times(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "products")
+    jobs.write_partitioned(frame(spark, [product()], schemas.PRODUCTS), path, partition_column="partition_date")
+    i = inputs(spark, stats=[stat(D(2024, 1, 9))])
+    i.products = readers.read_table(spark, path, schemas.PRODUCTS)
+    assert plan_text(inventory.inventory_view(i)).split("\n\n")[0].count("Scan parquet") == 2
 
 
 def test_cluster_settings_scale_with_the_shuffle():
