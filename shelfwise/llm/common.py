@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,3 +96,29 @@ def in_order(df: DataFrame, order: list[Column], totals: dict[str, Column], name
                                 for k, v in totals.items()))
     return rows.join(F.broadcast(offsets), "__range").select(
         *df.columns, *((F.col(f"__in_{k}") + F.col(f"__{k}")).alias(k) for k in totals))
+
+
+class Marks:
+    """A set of longs as a bitmap of fixed size (4 MB, whatever the set holds).
+
+    It says yes to all members and to few others while the set is small against its bits;
+    where it is not, it says yes to more and only saves less. Tasks get it by broadcast.
+    """
+
+    BITS = 25
+
+    def __init__(self, df: DataFrame, column: str) -> None:
+        place = F.pmod(F.xxhash64(column), F.lit(1 << self.BITS))
+        rows = df.select(F.shiftright(place, 15).alias("page"), place.bitwiseAND(F.lit(32767)).alias("bit")).groupBy(
+            "page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+        bits = np.zeros(1 << (self.BITS - 3), np.uint8)
+        for r in rows:
+            bits[4096 * r["page"]:4096 * (r["page"] + 1)] = np.frombuffer(bytes(r["bits"]), np.uint8)
+        self.shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    @staticmethod
+    def place(column: str | Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(1 << Marks.BITS))
+
+    def have(self, places: np.ndarray) -> np.ndarray:
+        return (self.shared.value[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import at, marked, pick, stored, unmarked
+from shelfwise.llm.common import Marks, at, marked, pick, stored, unmarked
 
 SHINGLE, NUM, DEN = 4, 85, 100
 #: Ring width as a ratio of sizes; parts that may be left out, as a share of the differences.
@@ -144,14 +144,43 @@ DESCRIBED = "doc_id long, n_shingles long, digest binary, regions array<long>"
 
 
 def sets_of(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, sketch, items) of the documents ``ids``, made anew from their texts and stored."""
+    """(doc_id, n, sketch, items) of the documents ``ids`` (and of few others), made anew
+    from their texts, which are not shuffled for it, and stored."""
+    marks = Marks(ids, "doc_id")
+
     def run(batches):
         for b in batches:
+            mine = marks.have(b.column(2).to_numpy())
+            b = b.filter(pa.array(mine))
             sets = [shingles(t, k) for t in b.column(1).to_pylist()]
             sketches = [np.bincount((h >> np.uint64(58)).astype(np.int64), minlength=SKETCH).astype("<u4").tobytes() for h in sets]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(sketches, pa.binary()),
                                               pa.array([h.tobytes() for h in sets], pa.binary())], ["doc_id", "n", "sketch", "items"])
-    return stored(texts.join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, n long, sketch binary, items binary"), "sets")
+    placed = texts.where("doc_id is not null").select("doc_id", "text", Marks.place("doc_id").alias("place"))
+    return stored(placed.mapInArrow(run, "doc_id long, n long, sketch binary, items binary"), "sets")
+
+
+def some_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, items) of ``sets`` for ``ids`` and few others, without a shuffle."""
+    marks = Marks(ids, "doc_id")
+
+    def run(batches):
+        for b in batches:
+            b = b.filter(pa.array(marks.have(b.column(2).to_numpy())))
+            yield pa.RecordBatch.from_arrays(b.columns[:2], ["doc_id", "items"])
+    return sets.select("doc_id", "items", Marks.place("doc_id").alias("place")).mapInArrow(run, "doc_id long, items binary")
+
+
+def colliding(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id, key) of the regions of ``rows`` that are among ``keys`` (and few others)."""
+    marks = Marks(keys, "key")
+
+    def run(batches):
+        for b in batches:
+            mine = marks.have(b.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(mine)) for c in b.columns[:2]], ["doc_id", "key"])
+    exploded = rows.select("doc_id", F.explode("regions").alias("key"))
+    return exploded.select("doc_id", "key", Marks.place("key").alias("place")).mapInArrow(run, "doc_id long, key long")
 
 
 def shared(batches):
@@ -189,8 +218,10 @@ def compared(pairs: DataFrame, sets: DataFrame, num: int, den: int, whole: bool
     total = F.col("n_a") + F.col("n_b")
     can = F.col("least") * (den + num) <= total * (den - num)
     sketched = stored(sketched.withColumn("open", F.lit(True) if whole else can), "sketched")
-    x, y = (sets.select(F.col("doc_id").alias(c), F.col("items").alias(f"i_{c}")) for c in "ab")
-    both = sketched.where("open").select("a", "b").join(x, "a").join(y, "b").select("a", "b", "i_a", "i_b")
+    open_ = sketched.where("open").select("a", "b")
+    near = some_of(sets, open_.select(F.col("a").alias("doc_id")).union(open_.select("b")))
+    x, y = (near.select(F.col("doc_id").alias(c), F.col("items").alias(f"i_{c}")) for c in "ab")
+    both = open_.join(x, "a").join(y, "b").select("a", "b", "i_a", "i_b")
     exact = both.mapInArrow(shared, "a long, b long, n_a long, n_b long, common long")
     known = exact.select("*", (1 - F.col("common") / (total - F.col("common"))).alias("low"))
     known = known.select("a", "b", "n_a", "n_b", "common", (F.col("common") * den >= (total - F.col("common")) * num).alias("linked"), "low", F.col("low").alias("high"))
@@ -302,11 +333,12 @@ def joined(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, mo
     equal = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last")
     copies = stored(nodes.select("doc_id", "digest").join(equal, "digest").where("doc_id <> rep").select("doc_id", "rep").distinct(), "copies")
     links = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    dealt = nodes.join(copies, "doc_id", "left_anti").select("doc_id", F.explode("regions").alias("key"))
-    # A pivot for each region; regions of one set are done.
-    pivots = stored(dealt.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-                    .where("pivot < last"), "pivots")
-    members = stored(dealt.join(pivots.select("key", "pivot", "n"), "key").where("doc_id <> pivot"), "members")
+    nodes = nodes.join(copies, "doc_id", "left_anti").select("doc_id", "regions")
+    # A pivot for each region; regions of one set are done. Documents go to pivots only
+    # for regions that a bitmap of the shared ones does not rule out.
+    pivots = stored(nodes.select("doc_id", F.explode("regions").alias("key")).groupBy("key").agg(
+        F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "pivots")
+    members = stored(colliding(nodes, pivots).join(pivots, "key").where("doc_id <> pivot"), "members")
     sets = sets_of(members.select("doc_id").union(pivots.select("pivot")).distinct(), texts, k)
     checked = compared(members.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct(), sets, num, den)
     links = links.unionByName(checked.where("linked").select("a", "b"))

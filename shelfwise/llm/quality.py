@@ -19,16 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import at, marked, pick, stored, unmarked
+from shelfwise.llm.common import marked, pick, stored, unmarked
 
 CLASSES, ORDER = 128, 3
 MODELS = 8
-OTHER = "\x00other"
+OTHER, NULL = "\x00other", "\x00null"
 #: Bands: median +- WIDTH * median absolute deviation of log perplexity, at least FLOOR wide.
 WIDTH, FLOOR = 8.0, 0.05
 BINS = 1000  # histogram bins for each unit of log perplexity
 MIN_WORDS, MOST_REPEATED = 50, 50
 SYMBOLS = "#*$%&|<>"
+SCORED = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+          "n_repeat_words long, log_perplexity double")
 
 _SPACE = set(b" \t\n\r\x0b\x0c")
 _DIRECT = np.array([0 if c in _SPACE else c - 32 if 33 <= c <= 126 else 95 for c in range(128)], np.uint8)
@@ -195,8 +197,8 @@ def scored(batches, models_):
             out.append((*base(text), None if m is None else log_perplexity(m, text)))
         cols = list(zip(*out, strict=True)) or [[]] * 6
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(3), *(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())],
-            ["doc_id", "lang", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity"])
+            [b.column(0), b.column(1), *(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())],
+            ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity"])
 
 
 def bands(histogram: list[tuple[str, int, int]], width: float, floor: float) -> dict[str, tuple[float, float]]:
@@ -215,40 +217,47 @@ def bands(histogram: list[tuple[str, int, int]], width: float, floor: float) ->
     return out
 
 
-def judged(docs: DataFrame, width: float, floor: float) -> DataFrame:
-    """Every row's statistics and verdict; ``key`` is a hash of its text and language."""
+def failed():
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
+def columns(docs: DataFrame) -> DataFrame:
+    return pick(docs, "doc_id", "lang", "text").select(
+        F.col("doc_id").cast("long"), F.coalesce("lang", F.lit(NULL)).alias("lang"), "text")
+
+
+def judge(docs: DataFrame, width: float, floor: float):
+    """Models, every row's stored statistics, and the bands (lang, low, high) of ``docs``."""
     spark = docs.sparkSession
-    rows = pick(docs, "doc_id", "lang", "text").select(
-        F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("\x00null")).alias("lang"), "text")
+    rows = columns(docs)
     often = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MODELS).collect()]
-    rows = rows.withColumn("key", like(F.col("lang"), F.col("text")))
     rows = rows.withColumn("lang", F.when(F.col("lang").isin(often), F.col("lang")).otherwise(OTHER))
     models_ = spark.sparkContext.broadcast(models(rows.select("lang", "text")))
-    stats = stored(rows.mapInArrow(
-        lambda batches: scored(batches, models_),
-        "doc_id long, lang string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, log_perplexity double").withColumn(
-        "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))),
-        "quality")
+    stats = stored(rows.mapInArrow(lambda batches: scored(batches, models_), SCORED).withColumn("base_failed", failed()), "quality")
     histogram = stats.where(~F.col("base_failed")).groupBy(
         "lang", F.round(F.col("log_perplexity") * BINS).cast("int").alias("bin")).count().collect()
-    limits = bands([tuple(r) for r in histogram], width, floor)
-    table = spark.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, low double, high double")
-    within = F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return stats.join(F.broadcast(table), "lang", "left").withColumn(  # a row for each model
-        "kept", ~F.col("base_failed") & F.coalesce(within, F.lit(False)))
-
-
-def like(lang, text):
-    return F.xxhash64(F.coalesce(lang, F.lit("\x00null")), text)
+    return models_, often, stats, bands([tuple(r) for r in histogram], width, floor)
 
 
 def passed(docs: DataFrame, width: float = WIDTH, floor: float = FLOOR) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with all columns."""
-    kept = judged(docs, width, floor).where("kept").select("doc_id", "key").distinct()
+    """The rows of ``docs`` that ``quality`` keeps, with all columns; texts are scored again
+    under the same models and bands, and not shuffled."""
+    models_, often, _, limits = judge(docs, width, floor)
     flat, names = marked(docs)
-    same = [at(names, "doc_id").cast("long").eqNullSafe(F.col("doc_id")), like(at(names, "lang"), at(names, "text")) == F.col("key")]
-    return unmarked(flat.join(kept, same, "left_semi"), names)
+    lang, text = names.index("lang"), names.index("text")
+
+    def run(batches):
+        for b in batches:
+            keep = []
+            for name, t in zip(b.column(lang).to_pylist(), b.column(text).to_pylist(), strict=True):
+                name = NULL if name is None else name
+                name = name if name in often else OTHER
+                n, _, _, _, repeated = base(t)
+                good = n >= MIN_WORDS and 100 * repeated <= MOST_REPEATED * n
+                low, high = limits.get(name, (1, 0))
+                keep.append(good and low <= log_perplexity(models_.value[name], t) <= high)
+            yield b.filter(pa.array(keep, pa.bool_()))
+    return unmarked(flat.mapInArrow(run, flat.schema), names)
 
 
 def quality(docs: DataFrame, width: float = WIDTH, floor: float = FLOOR) -> DataFrame:
@@ -261,5 +270,9 @@ def quality(docs: DataFrame, width: float = WIDTH, floor: float = FLOOR) -> Data
     repeated doc_ids are judged each, an empty table gives no rows, other columns are not
     read. The models count all rows, repeated ones too.
     """
-    return judged(docs, width, floor).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+    _, _, stats, limits = judge(docs, width, floor)
+    table = docs.sparkSession.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, low double, high double")
+    within = F.col("log_perplexity").between(F.col("low"), F.col("high"))
+    return stats.join(F.broadcast(table), "lang", "left").select(  # a row for each model
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"), "log_perplexity")
