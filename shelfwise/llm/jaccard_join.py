@@ -45,10 +45,10 @@ MOST = 48
 #: Cells of distance to a pivot; sets and shingles of a block.
 CELL, BLOCK_SETS, BLOCK_ITEMS = 0.05, 1024, 1 << 20
 
-#: Buckets of a sketch: a set's shingle counts by the top bits of their hashes. The sum of
-#: two sketches' differences is at most |A ^ B|, so most pairs that cannot link are known
-#: without their sets.
-SKETCH = 64
+#: Buckets of a sketch: a set's shingle counts, at most 255, by the top 8 bits of their
+#: hashes. The sum of two sketches' differences is at most |A ^ B|, so most pairs that
+#: cannot link are known without their sets.
+SKETCH = 256
 
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -153,7 +153,7 @@ def sets_of(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
             mine = marks.have(b.column(2).to_numpy())
             b = b.filter(pa.array(mine))
             sets = [shingles(t, k) for t in b.column(1).to_pylist()]
-            sketches = [np.bincount((h >> np.uint64(58)).astype(np.int64), minlength=SKETCH).astype("<u4").tobytes() for h in sets]
+            sketches = [np.minimum(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes() for h in sets]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(sketches, pa.binary()),
                                               pa.array([h.tobytes() for h in sets], pa.binary())], ["doc_id", "n", "sketch", "items"])
     placed = texts.where("doc_id is not null").select("doc_id", "text", Marks.place("doc_id").alias("place"))
@@ -201,8 +201,8 @@ def shared(batches):
 def apart(batches):
     """(a, b, n_a, n_b, least) of (a, b, n_a, n_b, sketch_a, sketch_b); least: of shingles in which they differ."""
     for b in batches:
-        x, y = (np.array([np.frombuffer(v.as_buffer(), "<u4") for v in b.column(c)], np.int64).reshape(-1, SKETCH) for c in (4, 5))
-        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(abs(x - y).sum(1))], ["a", "b", "n_a", "n_b", "least"])
+        x, y = (np.array([np.frombuffer(v.as_buffer(), np.uint8) for v in b.column(c)], np.int16).reshape(-1, SKETCH) for c in (4, 5))
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(abs(x - y).sum(1, dtype=np.int64))], ["a", "b", "n_a", "n_b", "least"])
 
 
 def compared(pairs: DataFrame, sets: DataFrame, num: int, den: int, whole: bool = False) -> DataFrame:
