@@ -10,6 +10,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from shelfwise import catalog
 
 TABLES = ["region", "nation", "part", "events"]
 
@@ -30,7 +31,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     rel = duck.sql(entry.oracle_sql()[name])
