@@ -88,12 +88,13 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str, list[str]]] | None
     table = spark.createDataFrame(
         [(r, v, p, t or None, r in site) for r, v, p, t in rules],
         "rule string, verdict string, pattern string, tokens array<string>, site boolean")
+    # The rules come from the driver's list, so they are small, and no common token is dealt to one task.
     literal = table.select("rule", F.explode("tokens").alias("token"))
-    seen = words.join(literal.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    seen = words.join(F.broadcast(literal.select("token").distinct()), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
     rarest = literal.join(seen, "token", "left").groupBy("rule").agg(
         F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token"))
     index = table.join(rarest, "rule", "left").select("rule", "verdict", "pattern", "site", "token")
-    fetched = words.join(index.where("token is not null"), "token").drop("token")
+    fetched = words.join(F.broadcast(index.where("token is not null")), "token").drop("token")
     # Rules without a whole token: as many as the rule list says, tried on each URL in its row.
     loose = [(r, v, p, r in site) for r, v, p, t in rules if not t]
     tried = urls.select("host", "path", F.explode(F.array(*(
