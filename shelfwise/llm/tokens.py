@@ -61,6 +61,8 @@ class WordEncoder:
         for w in new:
             if (known := old.get(w)) is not None:
                 young[w] = known
+            elif w.isalnum():  # most words: none of the cases below
+                fresh.append(w)
             elif not w or w[0].isspace() or w[-1].isspace() or "<|" in w:
                 young[w] = False
             elif w[-1] in ".," and len(w) > 1 and w[-2].isalpha() and w[-2] < "\u0250":
@@ -82,17 +84,13 @@ class WordEncoder:
         young = self.young
         cut = [(t or "").split(" ") for t in texts]
         heads = self.whole([c.pop(0) for c in cut])
-        parts = [list(map(young.get, c)) for c in cut]
-        gaps = [[i for i, x in enumerate(p) if x is None] for p in parts]
-        long = self.learn({c[i] for c, g in zip(cut, gaps, strict=True) for i in g})
+        long = self.learn(set().union(*cut).difference(young))
         out: list[bytes] = []
-        for text, head, words, part, gap in zip(texts, heads, cut, parts, gaps, strict=True):
-            for i in gap:
-                part[i] = young[words[i]]
+        for text, head, words in zip(texts, heads, cut, strict=True):
             # The head of a text with words after it must end like a word, too.
             safe = not words or text[0] != " " and not head_end(text).isspace()
             try:
-                out.append(head + b"".join(part) if safe else self.whole([text])[0])
+                out.append(head + b"".join(map(young.__getitem__, words)) if safe else self.whole([text])[0])
             except TypeError:  # a word that may not be cut off
                 out.append(self.whole([text])[0])
         for w in long:
