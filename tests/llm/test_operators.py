@@ -311,3 +311,71 @@ def test_queries_match_their_sql(spark, name):
     want = con.sql(queries.ORACLE_SQL[name])
     got = queries.QUERIES[name](spark, sf_dir).select(*want.columns).collect()
     assert Counter(map(tuple, got)) == Counter(want.fetchall())
+
+
+def brute_perplexities(rows, order=quality.ORDER):
+    """Log perplexity of each (lang, text): modified Kneser-Ney with dictionaries, a model for each lang."""
+    import math
+
+    def grams(text):
+        s = " " * (order - 1) + re.sub(r"[\t\n\x0b\x0c\r]", " ", text) + " "
+        return [s[i:i + order] for i in range(len(s) - order + 1)]
+
+    out = {}
+    for lang in {x for x, _ in rows}:
+        levels = [Counter(g for x, t in rows if x == lang and t for g in grams(t))]
+        while len(next(iter(levels[-1]), "")) > 1:
+            levels.append(Counter(g[1:] for g in levels[-1]))
+        p = {"": 1 / max(1, len(levels[-1]))}
+        for level in reversed(levels):
+            have = [sum(n == k for n in level.values()) for k in range(1, 5)]
+            d = [0, 0.5, 0.75, 0.9]
+            if all(have):
+                y = have[0] / (have[0] + 2 * have[1])
+                d = [0, *(min(k, max(0.1, k - (k + 1) * y * have[k] / have[k - 1])) for k in (1, 2, 3))]
+            total, left = Counter(), Counter()
+            for g, n in level.items():
+                total[g[:-1]] += n
+                left[g[:-1]] += d[min(n, 3)]
+            p = {g: (n - d[min(n, 3)] + left[g[:-1]] * p[g[1:]]) / total[g[:-1]] for g, n in level.items()}
+        for x, t in rows:
+            if x == lang:
+                out[x, t] = -sum(math.log(p[g]) for g in grams(t)) / len(grams(t)) if t else None
+    return out
+
+
+def test_perplexities_of_whole_code_points(spark):
+    letters = ["abcdefgh \n\x00", "абвгдежзийклмнопрстуфхцчшщъыьэюя ", "日本語中文字漢数人大小山川田口目耳手足 ", "αβγδεζηθικλμ 🎉"]
+    rng = np.random.default_rng(4)
+    rows = [(None if k == 2 else f"l{k}", "".join(rng.choice(list(letters[k]), int(rng.integers(1, 400))))) for k in range(4) for _ in range(12)]
+    rows += [("l0", None), ("l0", ""), rows[0], rows[20]]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(3)
+    want = brute_perplexities(rows)
+    for r in quality.quality(df).collect():
+        w = want[rows[r["doc_id"]]]
+        assert r["log_perplexity"] == (w if w is None else pytest.approx(w, abs=1e-5))
+
+
+def test_chunks_of_a_task_give_the_same_perplexities():
+    texts = [BASE * k for k in range(1, 9)]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 8, "text": texts})
+
+    class Task:
+        def partitionId(self):
+            return 2
+
+    seen = []
+    for most in (1, 300, 1 << 25):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(quality, "CHUNK", most)
+            m.setattr(quality.TaskContext, "get", staticmethod(Task))
+            total, chunks = Counter(), set()
+            for b in quality.count_grams([batch, batch]):
+                for row in b.to_pylist():
+                    total[row["lang"], row["gram"]] += row["n"]
+                    chunks.add(row["chunk"])
+            seen.append(total)
+            assert len(chunks) == {1: 16, 1 << 25: 1}.get(most, len(chunks))
+    assert seen[0] == seen[1] == seen[2]
