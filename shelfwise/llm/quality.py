@@ -1,7 +1,7 @@
 """Quality rules: word statistics and an n-gram language model's perplexity bands.
 
 The model is a modified Kneser-Ney model of order 3 over whole code points (all ASCII
-white space is one), one for each language, and grows with the corpus. Python tasks count
+white space is one), one for each lang, however many there are, and grows with the corpus. Python tasks count
 the n-grams of chunks of a partition; Spark sums them, builds each order's probabilities
 with aggregations and joins, stores them, and sends each chunk the probabilities of the
 n-grams that it holds, where its texts are scored. No model is collected or broadcast.
@@ -31,8 +31,7 @@ from shelfwise.llm.common import marked, prepare, stored, unmarked
 ORDER = 3
 #: Characters of a chunk, from which on a new one begins.
 CHUNK = 1 << 25
-MODELS = 8
-OTHER, NULL = "\x00other", "\x00null"
+NULL = "\x00null"
 #: Bands: median +- WIDTH * median absolute deviation of log perplexity, at least FLOOR wide.
 WIDTH, FLOOR = 8.0, 0.05
 BINS = 1000  # histogram bins for each unit of log perplexity
@@ -234,20 +233,22 @@ def base(text: str | None) -> tuple[int, int, int, int, int]:
     return n, chars, symbols, dup, repeated
 
 
-def bands(histogram: list[tuple[str, int, int]], width: float, floor: float) -> dict[str, tuple[float, float]]:
-    """Lower and upper log perplexity of each language, from (lang, bin, n)."""
-    out = {}
-    for lang in {x for x, _, _ in histogram}:
-        at, n = (np.array(x) for x in zip(*sorted((b, n) for x, b, n in histogram if x == lang), strict=True))
+def bands(histogram: DataFrame, width: float, floor: float) -> DataFrame:
+    """(lang, low, high): least and greatest log perplexity of each language, from its (lang, bin, n)."""
+    def run(pdf):
+        import pandas as pd
 
-        def middle(values: np.ndarray, n: np.ndarray) -> float:
+        pdf = pdf.sort_values("bin")
+        at, n = pdf["bin"].to_numpy(), pdf["n"].to_numpy()
+
+        def middle(values: np.ndarray) -> float:
             order = np.argsort(values, kind="stable")
             return values[order][np.searchsorted(np.cumsum(n[order]), n.sum() / 2)]
 
-        mid = middle(at, n)
-        wide = max(width * middle(abs(at - mid), n), floor * BINS)
-        out[lang] = (float(mid - wide) / BINS, float(mid + wide) / BINS)
-    return out
+        mid = middle(at)
+        wide = max(width * middle(abs(at - mid)), floor * BINS)
+        return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "low": float(mid - wide) / BINS, "high": float(mid + wide) / BINS})
+    return histogram.groupBy("lang").applyInPandas(run, "lang string, low double, high double")
 
 
 def failed():
@@ -265,8 +266,6 @@ def judge(docs: DataFrame, width: float, floor: float, *names: str):
     flat, all_ = marked(docs)
     at_lang, at_text = (F.col(f"c{all_.index(n)}") for n in ("lang", "text"))
     flat = steady(flat.select(*names, F.coalesce(at_lang, F.lit(NULL)).alias("lang"), at_text.alias("__text")))
-    often = [r["lang"] for r in flat.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MODELS).collect()]
-    flat = flat.withColumn("lang", F.when(F.col("lang").isin(often), F.col("lang")).otherwise(OTHER))
     counts = stored(flat.select("lang", "__text").mapInArrow(count_grams, "lang string, gram string, n long, chunk long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n"), F.collect_list("chunk").alias("chunks")), "counts")
     model = probabilities(counts).join(counts.select("lang", "gram", "chunks"), ["lang", "gram"]).select(
@@ -276,14 +275,13 @@ def judge(docs: DataFrame, width: float, floor: float, *names: str):
     run = scored(schema, len(names) + 1, len(names))
     stats = stored(tagged.groupBy("__chunk").cogroup(model.groupBy("__chunk")).applyInArrow(run, schema).withColumn("base_failed", failed()), "quality")
     histogram = stats.where(~F.col("base_failed")).groupBy(
-        "lang", F.round(F.col("log_perplexity") * BINS).cast("int").alias("bin")).count().collect()
-    limits = bands([tuple(r) for r in histogram], width, floor)
-    return stats, docs.sparkSession.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, low double, high double")
+        "lang", F.round(F.col("log_perplexity") * BINS).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    return stats, stored(bands(histogram, width, floor), "bands")
 
 
 def kept(stats: DataFrame, limits: DataFrame) -> DataFrame:
     within = F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return stats.join(F.broadcast(limits), "lang", "left").withColumn(  # a row for each model
+    return stats.join(limits, "lang", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(within, F.lit(False)))
 
 

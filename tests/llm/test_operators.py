@@ -379,3 +379,26 @@ def test_chunks_of_a_task_give_the_same_perplexities():
             seen.append(total)
             assert len(chunks) == {1: 16, 1 << 25: 1}.get(most, len(chunks))
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_each_of_many_languages_has_its_own_model_and_bands(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(11):  # l10 has the fewest rows
+        syllables = ["".join(rng.choice(list("abcdefghijklmnop"), 3)) for _ in range(12)]
+        for _ in range(16 - k // 3):
+            rows.append((f"l{k}", " ".join("".join(rng.choice(syllables, 2)) for _ in range(int(rng.integers(55, 90))))))
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    want, values = brute_perplexities(rows), {}
+    got = quality.quality(df).collect()
+    for r in got:
+        assert r["log_perplexity"] == pytest.approx(want[rows[r["doc_id"]]], abs=1e-5)
+        if not r["base_failed"]:
+            values.setdefault(rows[r["doc_id"]][0], []).append(round(r["log_perplexity"] * quality.BINS))
+    assert len(values) == 11
+    middle = lambda v: sorted(v)[(len(v) - 1) // 2]
+    for r in got:
+        v = values[rows[r["doc_id"]][0]]
+        wide = max(quality.WIDTH * middle([abs(x - middle(v)) for x in v]), quality.FLOOR * quality.BINS)
+        if abs(abs(r["log_perplexity"] * quality.BINS - middle(v)) - wide) > 1:
+            assert r["kept"] == (not r["base_failed"] and abs(r["log_perplexity"] * quality.BINS - middle(v)) < wide)
