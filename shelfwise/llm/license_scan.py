@@ -1,9 +1,12 @@
 """License scan: known sentences, then ordered rules over their sequence.
 
-A text is cut into sentences (at line ends and after . ! ?), each is normalised (lower
-case, runs of anything but letters and digits become one space, version numbers keep
-their dot) and looked up among known licence sentences. The identifiers found, in text
-order, are matched against the rules in turn; a rule consumes what it matches, so that a
+A text is normalised (lower case, runs of anything but letters and digits become one
+space, version numbers keep their dot). Sentences end after . ! ? and at lines without a
+letter or digit, as between paragraphs; within a sentence, single line ends with whatever
+comment signs stand there (#, *, //) count as spaces. A known licence sentence is found
+where it stands from a sentence's or line's start to a sentence's or line's end, so a
+wrapped sentence is found, and so is a notice on a line of its own; of several that start
+at one place the longest is taken. The identifiers found, in text order, are matched against the rules in turn; a rule consumes what it matches, so that a
 later, more general rule does not see it. All of it is DataFrame functions.
 """
 
@@ -63,12 +66,17 @@ RULES = [
 MARKS = r"(?i)licen[cs]e|copyright|free software|without any warranty|redistribution|rights"
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9.]+|\.(?![0-9])|(?<![0-9])\.", " "))
+def lined(text: Column) -> Column:
+    """A text, normalised: sentence ends become ``x02`` and line ends within a sentence stay."""
+    out = F.translate(F.lower(text), "\x02", " ")
+    for pattern, by in ((r"[.!?]\s+", "\x02"), (r"[^a-z0-9.\n\x02]+|\.(?![0-9])|(?<![0-9])\.", " "), (" +", " "),
+                        (r" ?\n ?(?:\n ?)+", "\x02"), (r" ?\n ?", "\n"), (r"[ \n]?\x02[ \n\x02]*", "\x02")):
+        out = F.regexp_replace(out, pattern, by)
+    return out
 
 
 def plain(sentence: str) -> str:
-    """`normalised` for the table's own sentences."""
+    """The table's own sentences, normalised."""
     import re
 
     return re.sub(r" +", " ", re.sub(r"[^a-z0-9.]+|\.(?![0-9])|(?<![0-9])\.", " ", sentence.lower())).strip()
@@ -82,17 +90,16 @@ def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[t
     whose rules fit, sorted, each once, both joined by commas and empty where there are
     none; ``n_unmatched`` counts the identifiers that no rule consumed. Null and empty
     texts have none. Null and repeated doc_ids are scanned each, an empty table gives no
-    rows, other columns are not read. A sentence that is broken over lines is not known.
+    rows, other columns are not read.
     """
     sentences = SENTENCES if sentences is None else sentences
     rules = RULES if rules is None else rules
     known = F.create_map(*(F.lit(x) for name, s in sentences.items() for x in (plain(s), name)))
     text = F.coalesce("text", F.lit(""))
-    lines = F.split(F.regexp_replace(text, r"([.!?])\s+", "$1\n"), "\n")
-    # Only sentences with a mark are normalised; every known sentence has one.
-    ids = F.filter(F.transform(F.filter(lines, lambda x: x.rlike(marks)),
-                               lambda x: F.try_element_at(known, F.regexp_replace(normalised(x), " +", " "))),
-                   lambda x: x.isNotNull())
+    ways = sorted({plain(s) for s in sentences.values()}, key=len, reverse=True)
+    pattern = "(?<=[\n\x02])(?:" + "|".join(w.replace(".", r"\.").replace(" ", r"[ \n]") for w in ways) + ")(?=[\n\x02])"
+    whole = lined(F.concat(F.lit("\n\n"), text, F.lit("\n\n")))
+    ids = F.transform(F.regexp_extract_all(whole, F.lit(pattern), F.lit(0)), lambda x: F.element_at(known, F.translate(x, "\n", " ")))
     found = pick(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"),
         F.when(text.rlike(marks), F.array_join(ids, ",")).otherwise("").alias("sentence_ids"))

@@ -402,3 +402,45 @@ def test_each_of_many_languages_has_its_own_model_and_bands(spark):
         wide = max(quality.WIDTH * middle([abs(x - middle(v)) for x in v]), quality.FLOOR * quality.BINS)
         if abs(abs(r["log_perplexity"] * quality.BINS - middle(v)) - wide) > 1:
             assert r["kept"] == (not r["base_failed"] and abs(r["log_perplexity"] * quality.BINS - middle(v)) < wide)
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+APACHE = """Copyright 2020 Someone
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is distributed in the hope that it will be useful, but WITHOUT ANY
+WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+PARTICULAR PURPOSE."""
+
+
+def test_wrapped_licences(spark):
+    texts = [MIT, APACHE, *("".join(f"{sign} {line}".rstrip(" ") + end for line in APACHE.split("\n")) for sign in ("#", " *", "//") for end in ("\n", "\r\n")),
+             "a title\nAll rights reserved\nmore words", "all rights reserved here", "Released under\n\nthe MIT License.", "\x02All rights\nreserved! x" * 2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["sentence_ids"], r["licenses"], r["n_unmatched"]) for r in license_scan.scan(df).orderBy("doc_id").collect()]
+    assert got[0] == ("mit-grant,mit-keep", "MIT", 0)
+    assert got[1:8] == [("apache-header,apache-copy,as-is-basis,apache-limits", "Apache-2.0", 0)] * 7
+    assert got[8] == ("rights-reserved", "Proprietary", 0) and got[9:11] == [("", "", 0)] * 2 and got[11][0] == "rights-reserved"
