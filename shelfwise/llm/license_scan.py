@@ -12,6 +12,8 @@ later, more general rule does not see it. All of it is DataFrame functions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +65,8 @@ RULES = [
 ]
 
 # Every known sentence has one of these, in any case; texts with none have no known sentence.
-MARKS = r"(?i)licen[cs]e|copyright|free software|without any warranty|redistribution|rights"
+# Single words, which stand alike in a text and in what it is normalised to.
+MARKS = r"(?i)licen[cs]e|copyright|warranty|redistribution|rights"
 
 
 def lined(text: Column) -> Column:
@@ -77,8 +80,6 @@ def lined(text: Column) -> Column:
 
 def plain(sentence: str) -> str:
     """The table's own sentences, normalised."""
-    import re
-
     return re.sub(r" +", " ", re.sub(r"[^a-z0-9.]+|\.(?![0-9])|(?<![0-9])\.", " ", sentence.lower())).strip()
 
 
@@ -90,10 +91,12 @@ def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[t
     whose rules fit, sorted, each once, both joined by commas and empty where there are
     none; ``n_unmatched`` counts the identifiers that no rule consumed. Null and empty
     texts have none. Null and repeated doc_ids are scanned each, an empty table gives no
-    rows, other columns are not read.
+    rows, other columns are not read. Each of ``sentences`` must have one of ``marks``.
     """
     sentences = SENTENCES if sentences is None else sentences
     rules = RULES if rules is None else rules
+    if unmarked := [name for name, s in sentences.items() if not re.search(marks, plain(s))]:
+        raise ValueError(f"sentences without a mark would never be found: {', '.join(unmarked)}")
     known = F.create_map(*(F.lit(x) for name, s in sentences.items() for x in (plain(s), name)))
     text = F.coalesce("text", F.lit(""))
     ways = sorted({plain(s) for s in sentences.values()}, key=len, reverse=True)

@@ -444,3 +444,11 @@ def test_wrapped_licences(spark):
     assert got[0] == ("mit-grant,mit-keep", "MIT", 0)
     assert got[1:8] == [("apache-header,apache-copy,as-is-basis,apache-limits", "Apache-2.0", 0)] * 7
     assert got[8] == ("rights-reserved", "Proprietary", 0) and got[9:11] == [("", "", 0)] * 2 and got[11][0] == "rights-reserved"
+
+
+def test_marks_survive_what_normalisation_drops(spark):
+    texts = [GPL, GPL.replace("ANY\nWARRANTY", "ANY  WARRANTY"), GPL.replace("ANY\nWARRANTY", "ANY,\tWARRANTY")]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["sentence_ids"] for r in got] == ["gpl-hope"] * 3
+    with pytest.raises(ValueError, match="mine"):
+        license_scan.scan(spark.createDataFrame([], "doc_id long, text string"), sentences={"mine": "Do as you like."}, rules=[])
