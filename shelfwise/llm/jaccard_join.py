@@ -331,9 +331,10 @@ def joined(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, mo
     nodes = rows.where("doc_id is not null and n_shingles > 0")
     # Equal sets: the lowest doc_id stands for all.
     equal = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last")
-    copies = stored(nodes.select("doc_id", "digest").join(equal, "digest").where("doc_id <> rep").select("doc_id", "rep").distinct(), "copies")
+    copies = stored(nodes.select("doc_id", "digest").join(equal, "digest").where("doc_id <> rep").select("doc_id", "digest", "rep").distinct(), "copies")
     links = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    nodes = nodes.join(copies, "doc_id", "left_anti").select("doc_id", "regions")
+    # A doc_id's other texts, of which no lower doc_id has a copy, are searched.
+    nodes = nodes.join(copies, ["doc_id", "digest"], "left_anti").select("doc_id", "regions")
     # A pivot for each region; regions of one set are done. Documents go to pivots only
     # for regions that a bitmap of the shared ones does not rule out.
     pivots = stored(nodes.select("doc_id", F.explode("regions").alias("key")).groupBy("key").agg(

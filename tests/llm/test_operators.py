@@ -452,3 +452,14 @@ def test_marks_survive_what_normalisation_drops(spark):
     assert [r["sentence_ids"] for r in got] == ["gpl-hope"] * 3
     with pytest.raises(ValueError, match="mine"):
         license_scan.scan(spark.createDataFrame([], "doc_id long, text string"), sentences={"mine": "Do as you like."}, rules=[])
+
+
+def test_a_copy_links_by_its_other_texts_too(spark):
+    def text(name, *changed):
+        return " ".join(f"x{i}" if i in changed else f"{name}{i}" for i in range(90))
+
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (9, text("b", 40)), (7, text("c")), (8, text("d")), (12, text("b"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.classes(df).collect()}
+    assert got == {(1, 1), (5, 1), (9, 1), (12, 1), (7, 7), (8, 8)}
+    assert sorted(r["doc_id"] for r in jaccard_join.one_of_each(df).collect()) == [1, 7, 8]
