@@ -12,11 +12,13 @@ from shelfwise.llm import (
     language_id,
     license_scan,
     mixing,
+    negatives,
     packing,
     quality,
     token_counts,
     token_files,
     url_filter,
+    whitening,
 )
 
 
@@ -67,8 +69,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vec_id divisible by 50 is an anchor; the labels of those divisible by 7 move by one."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(rows, F.col("id") % 50 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_mix, op2_token_counts, op3_licenses, op4_jaccard, op5_packing, op6_urls, op7_hamming, op8_token_files, op9_quality, op10_language)}
+    op1_mix, op2_token_counts, op3_licenses, op4_jaccard, op5_packing, op6_urls, op7_hamming, op8_token_files, op9_quality, op10_language,
+    op11_negatives, op12_whitening)}
 
 HAMMING_SQL = """
 WITH codes AS (
@@ -83,8 +97,31 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 10
 """
 
+NEGATIVES_SQL = """
+WITH usable AS (
+  SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS grid
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.n AS anchor, a.vec_id AS anchor_id, o.n AS other, o.vec_id AS other_id, a.label = o.label AS same,
+         list_inner_product(a.grid, o.grid)::BIGINT AS score
+  FROM usable a JOIN usable o ON a.vec_id % 50 = 0 AND a.n <> o.n),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id, other) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other_id, s.other) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scored s
+  ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other_id, s.other) <= 3
+"""
+
 ORACLE_SQL = {
     "op3_licenses": license_scan.oracle(),
     "op6_urls": url_filter.oracle(),
     "op7_hamming": HAMMING_SQL,
+    "op11_negatives": NEGATIVES_SQL,
 }
