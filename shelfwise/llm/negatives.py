@@ -283,13 +283,13 @@ def mine(df: DataFrame, anchor: Column, id: str = "vec_id", label: str = "label"
     held = found.groupBy("member").agg(F.map_from_entries(F.collect_list(F.struct("rank", F.struct("id", "score")))).alias("positives"))
     scores = [F.try_element_at("positives", F.lit(i + 1))["score"] for i in range(positives)]
     lows, highs = [F.ceil(s * low / 100) for s in scores], [F.floor(s * high / 100) for s in scores]
-    windows = anchors.join(held, anchors["row"] == held["member"]).drop("member").select(
+    windows = anchors.join(held.hint("merge"), anchors["row"] == held["member"]).drop("member").select(
         "*", F.array(*(F.when(a <= b, a.cast("double")).otherwise(F.lit(np.inf)) for a, b in zip(lows, highs, strict=True))).alias("low"),
         F.array(*(F.coalesce(b.cast("double"), F.lit(-np.inf)) for b in highs)).alias("high"))
     windows = stored(windows, "windows")
     chosen = merged(windows, rows, blocks, walks(width, middles, spread, exact, False, negatives, positives), negatives)
     pairs = windows.select(F.col("row").alias("member"), F.col("id").alias("anchor"), F.explode("positives").alias("place", "positive"))
-    named = chosen.join(pairs.withColumn("window", F.col("place") - 1), ["member", "window"])
+    named = chosen.join(pairs.withColumn("window", F.col("place") - 1).hint("merge"), ["member", "window"])
 
     def known(column: str) -> Column:
         return F.nullif(F.col(column), F.lit(NO_ID))

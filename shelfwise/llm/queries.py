@@ -10,6 +10,7 @@ from shelfwise.llm import (
     hamming_search,
     jaccard_join,
     language_id,
+    lexical_packing,
     license_scan,
     mixing,
     negatives,
@@ -80,9 +81,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix, op2_token_counts, op3_licenses, op4_jaccard, op5_packing, op6_urls, op7_hamming, op8_token_files, op9_quality, op10_language,
-    op11_negatives, op12_whitening)}
+    op11_negatives, op12_whitening, op13_lexical_packing)}
 
 HAMMING_SQL = """
 WITH codes AS (
