@@ -126,19 +126,20 @@ def q_price_benchmark_disapproved(spark, sf_dir):
 
 
 def q_price_suggestion_disapproved(spark, sf_dir):
-    return rounded(pricing.price_suggestion(_inventory(spark, sf_dir), disapproved_only=True))
+    return rounded(pricing.price_suggestion(_inventory(spark, sf_dir), disapproved_only=True,
+                                            ranked=True))
 
 
 def q_focus_brands(spark, sf_dir):
-    return rounded(pricing.focus_brands(_inventory(spark, sf_dir)))
+    return rounded(pricing.focus_brands(_inventory(spark, sf_dir), ranked=True))
 
 
 def q_reactivation_list(spark, sf_dir):
-    return rounded(pricing.reactivation_list(_inventory(spark, sf_dir)))
+    return rounded(pricing.reactivation_list(_inventory(spark, sf_dir), ranked=True))
 
 
 def q_price_suggestion(spark, sf_dir):
-    return rounded(pricing.price_suggestion(_inventory(spark, sf_dir)))
+    return rounded(pricing.price_suggestion(_inventory(spark, sf_dir), ranked=True))
 
 
 def q_best_sellers_overview(spark, sf_dir):
@@ -150,7 +151,7 @@ def q_best_sellers_details(spark, sf_dir):
 
 
 def q_restock_list(spark, sf_dir):
-    return rounded(popularity.restock_list(_best_sellers(spark, sf_dir)))
+    return rounded(popularity.restock_list(_best_sellers(spark, sf_dir), ranked=True))
 
 
 def q_cluster_gtins(spark, sf_dir):

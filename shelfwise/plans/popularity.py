@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.plans.pricing import on_date, top_k_per_date
+from shelfwise.plans.pricing import on_date, ordered_list
 from shelfwise.schemas import ROLLING_METRICS
 
 # Availability labels from the two inventory-status codes.
@@ -118,7 +118,7 @@ def best_sellers_details(best_sellers: DataFrame, date=None, codes: dict | None
 
 
 def restock_list(best_sellers: DataFrame, date=None, k: int | None = None,
-                 codes: dict | None = None) -> DataFrame:
+                 codes: dict | None = None, ranked: bool = False) -> DataFrame:
     """MA21: high-demand popular products the merchant has but out of stock,
     best rank first."""
     c = codes or DEFAULT_STATUS_CODES
@@ -131,7 +131,7 @@ def restock_list(best_sellers: DataFrame, date=None, k: int | None = None,
              *[F.col(x).asc_nulls_first() for x in (
                  "country_code", "report_category_id", "entity_id", "title", "brand",
                  "relative_demand", "relative_demand_change")]]
-    return top_k_per_date(rows, order, k)
+    return ordered_list(rows, order, k, ranked)
 
 
 def cluster_gtins(best_sellers: DataFrame, date=None) -> DataFrame:

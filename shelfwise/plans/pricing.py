@@ -11,16 +11,19 @@ Conventions (decisions the dashboard text leaves open):
   a pair whose rows differ in position counts once, under its dearest row:
   more expensive, else similar, else cheaper;
 * every mart is per snapshot ``date``: ``None`` gives all dates;
-* lists are complete. ``k`` (default ``None``) keeps the first ``k`` rows of
-  each date and adds their ``position``; Spark computes such a limit per
-  partition before the shuffle (window group limit).
+* lists are complete. ``ranked`` adds each row's ``position`` within its date, exactly and
+  without a task that sees a whole date (:mod:`shelfwise.operators.ranking`); that runs a job
+  when the list is built. ``k`` keeps the first ``k`` rows of each date and their position;
+  Spark computes such a limit per partition before the shuffle (window group limit).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.ranking import first_or_all
+
 CHEAPER = "cheaper"
 MORE_EXPENSIVE = "more_expensive"
 SIMILAR = "similar"
@@ -68,13 +71,9 @@ def custom_labels() -> list[Column]:
             for i, name in enumerate(CUSTOM_LABELS)]
 
 
-def top_k_per_date(df: DataFrame, order: list[Column], k: int | None,
-                   rank_name: str = "position") -> DataFrame:
-    """All rows, or with ``k`` the first ``k`` rows of each date under a total order."""
-    if k is None:
-        return df
-    w = Window.partitionBy("date").orderBy(*order)
-    return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= k)
+def ordered_list(df: DataFrame, order: list[Column], k: int | None, ranked: bool) -> DataFrame:
+    """A list per date: the first ``k`` rows, or all of them, with their ``position`` if ``ranked``."""
+    return first_or_all(df, ["date"], order, k) if ranked or k is not None else df
 
 
 def price_benchmark(inventory: DataFrame, date=None, disapproved_only: bool = False) -> DataFrame:
@@ -145,16 +144,17 @@ def benchmark_breakdown(inventory: DataFrame, date=None) -> DataFrame:
     return _class_counts(_per_pair(expanded, keys), keys)
 
 
-def focus_brands(inventory: DataFrame, date=None, k: int | None = None) -> DataFrame:
-    """MA8: brands with the largest share priced above the benchmark."""
+def focus_brands(inventory: DataFrame, date=None, k: int | None = None, ranked: bool = False) -> DataFrame:
+    """MA8: brands with the largest share priced above the benchmark, that share first."""
     brands = benchmark_breakdown(inventory, date).where(F.col("dimension") == "brand")
     order = [F.col("pct_more_expensive").desc_nulls_last(),
              F.col("products_with_benchmark").desc_nulls_last(),
              F.col("brand").asc_nulls_first()]
-    return top_k_per_date(brands.drop("dimension").withColumnRenamed("value", "brand"), order, k)
+    return ordered_list(brands.drop("dimension").withColumnRenamed("value", "brand"), order, k, ranked)
 
 
-def reactivation_list(inventory: DataFrame, date=None, k: int | None = None) -> DataFrame:
+def reactivation_list(inventory: DataFrame, date=None, k: int | None = None,
+                      ranked: bool = False) -> DataFrame:
     """MA6: disapproved products priced at or below the benchmark, most
     impressions first."""
     df = on_date(inventory, date).where(
@@ -169,11 +169,11 @@ def reactivation_list(inventory: DataFrame, date=None, k: int | None = None) ->
              F.col("offer_id").asc_nulls_first(), F.col("merchant_id").asc_nulls_first(),
              F.col("current_price").asc_nulls_first(), F.col("benchmark_price").asc_nulls_first(),
              F.col("title").asc_nulls_first(), F.col("brand").asc_nulls_first()]
-    return top_k_per_date(rows, order, k)
+    return ordered_list(rows, order, k, ranked)
 
 
 def price_suggestion(inventory: DataFrame, date=None, disapproved_only: bool = False,
-                     k: int | None = None) -> DataFrame:
+                     k: int | None = None, ranked: bool = False) -> DataFrame:
     """MA9-MA11: suggested price with predicted extra 30-day clicks and
     conversions (uplift x last 30 days), highest potential first."""
     df = on_date(inventory, date).where(F.col("suggested_price").isNotNull())
@@ -198,4 +198,4 @@ def price_suggestion(inventory: DataFrame, date=None, disapproved_only: bool = F
                  "brand", "category", *CUSTOM_LABELS, "current_price", "suggested_price",
                  "predicted_clicks_change_fraction", "predicted_conversions_change_fraction",
                  "clicks_30days", "conversions_30days")]]
-    return top_k_per_date(rows, order, k)
+    return ordered_list(rows, order, k, ranked)
