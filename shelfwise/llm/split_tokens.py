@@ -1,30 +1,34 @@
 """Token ids of a tokenizer that drops white space and never looks across it.
 
 Such a tokenizer's ids of a text are those of its stretches between white space, so a
-stretch met before need not be encoded again. A few characters that Python takes for white
-space and the tokenizer does not, and the start of a special token, send the whole text to
-the library.
+stretch is encoded once: Arrow splits a batch and numbers its distinct stretches, and those
+met in earlier batches are remembered. A few characters that Arrow takes for white space and
+the tokenizer does not, and the start of a special token, send the whole text to the library.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Python's white space that Unicode's (and the tokenizer's) is not.
+#: White space of Python and Arrow that is none to the tokenizer.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
+WHOLE = r"[\x1c-\x1f]|<\|"
 WORD_END = "</w>"
 
 
 @functools.lru_cache(maxsize=4096)
 def stays_letter(c: str) -> bool:
-    """Whether a letter ends in a letter once normalised and lower-cased; one that ends in
-    a mark is one stretch with a stop behind it."""
-    return unicodedata.normalize("NFC", c).lower()[-1].isalpha()
+    """Whether a letter is letters only once normalised and lower-cased: where it is not, the
+    tokenizer splits behind it, or joins what follows."""
+    return unicodedata.normalize("NFC", c).lower().isalpha()
 
 
 class SplitEncoder:
@@ -35,32 +39,40 @@ class SplitEncoder:
     ``longest`` are held for their batch only.
     """
 
-    def __init__(self, path: str, most: int = 800_000, longest: int = 48) -> None:
+    def __init__(self, path: str, most: int = 1_600_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        # The same merges for words of lower-case ASCII letters, which are normalised already.
+        bare = json.loads(self.library.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
+        # ... and for words of other letters, which need no splitting but at white space.
+        self.other = Tokenizer.from_str(json.dumps(bare))
+        self.other.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.other.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.library.get_vocab()
         self.size = max(vocab.values()) + 1
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.ends = np.zeros(self.size, bool)  # ids that end a word
         self.ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
         self.stops = dict(zip(".,", self.whole([".", ","]), strict=True))
-        self.young: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.most, self.longest = most // 2, longest
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only, each of which is one stretch of the tokenizer too."""
+    def words(self, words: list[str], by) -> list[bytes]:
+        """Ids of words of letters only, each of which is one stretch of the tokenizer ``by`` too."""
         out: list[bytes] = []
         for i in range(0, len(words), 4096):
             part = words[i:i + 4096]
-            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ids = np.array(by.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(part):
                 out += self.whole(part)
@@ -69,44 +81,60 @@ class SplitEncoder:
             out += [raw[a:b] for a, b in itertools.pairwise([0, *(ends * self.kind.itemsize).tolist()])]
         return out
 
-    def learn(self, new: set[str]) -> None:
-        young, old = self.young, self.old
-        letters, stopped, other = [], [], []
+    def learn(self, new: list[str]) -> None:
+        """Put distinct stretches into the young generation."""
+        young, old, stops = self.young, self.old, self.stops
+        plain, letters, stopped, other = set(), [], [], []
         for w in new:
             if (known := old.get(w)) is not None:
                 young[w] = known
             elif w.isalpha():
-                letters.append(w)
-            elif w[-1] in self.stops and w[:-1].isalpha() and stays_letter(w[-2]):
+                if w.isascii():
+                    plain.add(w)
+                else:
+                    letters.append(w)
+            elif w[-1] in stops and w[:-1].isalpha() and (w.isascii() or stays_letter(w[-2])):
                 stopped.append(w)
             else:
                 other.append(w)
-        stems = {w[:-1] for w in stopped}.difference(letters)
-        held = {w: known for w in stems if (known := young.get(w) or old.get(w)) is not None}
-        young.update(held)
-        letters += [w for w in stems if w not in held]
-        young.update(zip(letters, self.words(letters), strict=True))
-        young.update((w, young[w[:-1]] + self.stops[w[-1]]) for w in stopped)
+        for w in {w[:-1] for w in stopped}.difference(plain, letters):
+            if (known := young.get(w) or old.get(w)) is not None:
+                young[w] = known
+            elif w.isascii():
+                plain.add(w)
+            else:
+                letters.append(w)
+        lower = {w: w.lower() for w in plain}
+        distinct = list(set(lower.values()))
+        coded = dict(zip(distinct, self.words(distinct, self.bare), strict=True))
+        young.update((w, coded[x]) for w, x in lower.items())
+        single = [all(map(stays_letter, w)) for w in letters]
+        simple = [w for w, s in zip(letters, single, strict=True) if s]
+        young.update(zip(simple, self.words(simple, self.other), strict=True))
+        other += [w for w, s in zip(letters, single, strict=True) if not s]
         young.update(zip(other, self.whole(other), strict=True))
+        young.update((w, young[w[:-1]] + stops[w[-1]]) for w in stopped)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-        young = self.young
-        plain = [not (t and ("<|" in t or any(c in t for c in NOT_SPACE))) for t in texts]
-        cut = [(t or "").split() if p else [] for t, p in zip(texts, plain, strict=True)]
-        parts = [list(map(young.get, c)) for c in cut]
-        missing = [i for i, p in enumerate(parts) if None in p]
-        if missing:
-            new = {w for i in missing for w, x in zip(cut[i], parts[i], strict=True) if x is None}
+            self.young, self.old = {"": b""}, self.young
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, WHOLE)
+        cut = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        flat = cut.flatten().dictionary_encode()
+        words, young = flat.dictionary.to_pylist(), self.young
+        coded = list(map(young.get, words))
+        if None in coded:
+            new = [w for w, x in zip(words, coded, strict=True) if x is None]
             self.learn(new)
-            for i in missing:
-                parts[i] = list(map(young.get, cut[i]))
+            coded = list(map(young.get, words))
             for w in new:
                 if len(w) > self.longest:
                     del young[w]
-        out = [b"".join(p) for p in parts]
-        for i, p in enumerate(plain):
-            if not p:
-                out[i] = self.whole([texts[i]])[0]
+        places, bounds = flat.indices.to_numpy().tolist(), cut.offsets.to_numpy()
+        bounds = (bounds - bounds[0]).tolist()
+        coded_at = coded.__getitem__
+        out = [b"".join(map(coded_at, places[a:b])) for a, b in itertools.pairwise(bounds)]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.whole([texts[i].as_py()])[0]
         return out

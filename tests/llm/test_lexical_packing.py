@@ -9,6 +9,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from shelfwise.llm import lexical_packing as packing
@@ -48,17 +50,30 @@ def test_the_encoder_gives_the_librarys_ids(library):
     for most in (800_000, 200):
         encoder = SplitEncoder(PATH, most=most, longest=8)
         for _ in range(2):  # the second time from memory
-            got = [x for i in range(0, len(texts), 100) for x in encoder.encode(texts[i:i + 100])]
+            got = [x for i in range(0, len(texts), 100) for x in encoder.encode(pa.array(texts[i:i + 100], pa.string()))]
             assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
 
 
-def test_python_and_the_tokenizer_agree_on_white_space(library):
+def test_arrow_and_the_tokenizer_agree_on_white_space(library):
+    """Whatever Arrow splits at, the tokenizer drops, but for the characters sent to it whole."""
     other = library.encode("a b", add_special_tokens=False).ids
-    for c in map(chr, range(0x3100)):
-        if c.isspace():
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    split = pc.list_value_length(pc.utf8_split_whitespace(pa.array([f"a{c}b" for c in signs]))).to_numpy()
+    assert sum(split > 1) > 20
+    for c, n in zip(signs, split, strict=True):
+        if n > 1:
             assert (library.encode(f"a{c}b", add_special_tokens=False).ids == other) == (c not in NOT_SPACE)
 
 
+def test_batches_are_gathered_by_bytes():
+    batches = [pa.RecordBatch.from_pydict({"id": list(range(len(x))), "text": pa.array(x, pa.string())}) for x in (
+        ["ab", None, "", "abcd", "a"], [], ["b", "c", "d", "efghi"], ["j"])]
+    got = [t.column(1).to_pylist() for t in packing.gathered(iter(batches), 3)]
+    assert got == [["ab", None, ""], ["abcd"], ["a", "b", "c"], ["d"], ["efghi"], ["j"]]
+    assert [t.num_rows for t in packing.gathered(iter(batches), 1000)] == [10]
+    assert list(packing.gathered(iter([]), 3)) == []
+
+
 def check_pieces(got, docs, library, max_len):
     """Each id in one piece, sequences without gaps, none that needs padding."""
     want = Counter()
