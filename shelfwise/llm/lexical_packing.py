@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ MAX_LEN, END = 4096, 2
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
 #: Tokens of one shard, and the most tokens of one part (one task).
-SHARD_TOKENS, PART_TOKENS = 1 << 19, 1 << 26
+SHARD_TOKENS, PART_TOKENS = 1 << 18, 1 << 26
 
 CODED = "doc_id long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -46,7 +47,7 @@ def encoder(path: str) -> SplitEncoder:
     return SplitEncoder(path)
 
 
-def gathered(batches, most: int = 8_000_000):
+def gathered(batches, most: int = 20_000_000):
     """The batches' rows again, in tables of about ``most`` bytes of text, or one row with more."""
     held, size = [], 0
     for b in batches:
@@ -78,12 +79,37 @@ def coded(path: str, end: int):
     return run
 
 
-def postings(parts: list[bytes], kind: np.dtype, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class Texts:
+    """Coded texts, one after the other: all ids (each text's end id too) and the bounds."""
+
+    ids: np.ndarray
+    bounds: np.ndarray
+
+    @staticmethod
+    def of_column(column: pa.Array, kind: np.dtype) -> Texts:
+        """The texts of a binary column without nulls, not copied."""
+        bounds = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+        ids = np.frombuffer(column.buffers()[2] or b"", kind, (bounds[-1] - bounds[0]) // kind.itemsize, bounds[0])
+        return Texts(ids, (bounds.astype(np.int64) - bounds[0]) // kind.itemsize)
+
+    @staticmethod
+    def of_parts(parts: list[bytes], kind: np.dtype) -> Texts:
+        lengths = np.array([len(p) // kind.itemsize for p in parts], np.int64)
+        return Texts(np.frombuffer(b"".join(parts), kind), np.concatenate([[0], np.cumsum(lengths)]))
+
+    @property
+    def lengths(self) -> np.ndarray:
+        return np.diff(self.bounds)
+
+
+def postings(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term, times) of the documents' ids without their end id, in that order."""
-    ids = np.frombuffer(b"".join([p[:-kind.itemsize] for p in parts]), kind)
-    lengths = np.array([len(p) // kind.itemsize - 1 for p in parts])
-    small = len(parts) * size < 1 << 32
-    keys = np.repeat(np.arange(len(parts), dtype=np.uint32 if small else np.int64) * size, lengths) + ids
+    terms = np.ones(len(texts.ids), bool)
+    terms[texts.bounds[1:] - 1] = False
+    count = len(texts.lengths)
+    start = np.arange(count, dtype=np.uint32 if count * size < 1 << 32 else np.int64) * size
+    keys = (np.repeat(start, texts.lengths) + texts.ids)[terms]
     keys.sort()
     first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + 1)) if len(keys) else np.empty(0, np.int64)
     times = np.diff(first, append=len(keys))
@@ -102,17 +128,13 @@ class Weights:
         return self.rarity[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * length / self.mean))
 
 
-def lengths(parts: list[bytes], kind: np.dtype) -> np.ndarray:
-    return np.array([len(p) // kind.itemsize for p in parts], np.int64)
-
-
-def leading(parts: list[bytes], kind: np.dtype, weights: Weights) -> np.ndarray:
+def leading(texts: Texts, weights: Weights) -> np.ndarray:
     """Each document's term of greatest weight (the lowest of equals); one past all terms without any."""
     size = len(weights.rarity)
-    doc, term, times = postings(parts, kind, size)
-    out = np.full(len(parts), size)
+    doc, term, times = postings(texts, size)
+    out = np.full(len(texts.lengths), size)
     if len(doc):
-        weight = weights.of(term, times, lengths(parts, kind)[doc])
+        weight = weights.of(term, times, texts.lengths[doc])
         first = np.flatnonzero(np.diff(doc, prepend=-1))
         most = np.maximum.reduceat(weight, first)
         at = np.flatnonzero(weight == np.repeat(most, np.diff(first, append=len(doc))))
@@ -121,20 +143,20 @@ def leading(parts: list[bytes], kind: np.dtype, weights: Weights) -> np.ndarray:
     return out
 
 
-def totals(of, size: int):
-    """Adds up ``of(parts)`` (place, value) in each task and returns what is not zero."""
+def totals(of, kind: np.dtype, size: int):
+    """Adds up ``of(texts)`` (place, value) in each task and returns what is not zero."""
     def run(batches):
         held = np.zeros(size, np.int64)
         for b in batches:
-            place, value = of(b.column(0).to_pylist())
+            place, value = of(Texts.of_column(b.column(0), kind))
             held += np.bincount(place, value, size).astype(np.int64)
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], ["place", "value"])
     return run
 
 
-def summed(df: DataFrame, of, size: int) -> np.ndarray:
-    rows = df.select("ids").mapInArrow(totals(of, size), "place long, value long").groupBy("place").agg(F.sum("value").alias("value"))
+def summed(df: DataFrame, of, kind: np.dtype, size: int) -> np.ndarray:
+    rows = df.select("ids").mapInArrow(totals(of, kind, size), "place long, value long").groupBy("place").agg(F.sum("value").alias("value"))
     out = np.zeros(size, np.int64)
     for r in rows.collect():  # no more rows than the vocabulary has ids
         out[r["place"]] = r["value"]
@@ -155,7 +177,7 @@ def dealt(kind: np.dtype, weights: Weights, line: np.ndarray, parts_: int):
     def run(batches):
         for b in batches:
             col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            term = leading(col["ids"].to_pylist(), kind, weights)
+            term = leading(Texts.of_column(col["ids"], kind), weights)
             place = (ahead[term] + scattered(col["row"].to_numpy()) * line[term]) / max(line.sum(), 1)
             part = np.minimum((place * parts_).astype(np.int32), parts_ - 1)
             yield pa.RecordBatch.from_arrays(
@@ -167,8 +189,9 @@ class Index:
     """The inverted index of a shard."""
 
     def __init__(self, parts: list[bytes], kind: np.dtype, weights: Weights) -> None:
-        doc, term, times = postings(parts, kind, len(weights.rarity))
-        weight = weights.of(term, times, lengths(parts, kind)[doc])
+        texts = Texts.of_parts(parts, kind)
+        doc, term, times = postings(texts, len(weights.rarity))
+        weight = weights.of(term, times, texts.lengths[doc])
         self.documents = len(parts)
         self.bounds = np.searchsorted(doc, np.arange(len(parts) + 1))
         self.by_document = term
@@ -182,9 +205,8 @@ class Index:
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         """BM25 of all documents of the shard against ``terms``."""
-        at = np.searchsorted(self.terms, terms)
-        at = at[at < len(self.terms)] if len(self.terms) else at[:0]
-        at = at[np.isin(self.terms[at], terms, assume_unique=True)] if len(at) else at
+        at = np.searchsorted(self.terms[:-1], terms)
+        at = at[self.terms[at] == terms] if len(self.terms) else at[:0]
         count = self.count[at]
         places = np.arange(count.sum()) + np.repeat(self.first[at] - (np.cumsum(count) - count), count)
         return np.bincount(self.doc[places], self.weight[places], self.documents)
@@ -313,12 +335,12 @@ def pack(docs: DataFrame, path: str, max_len: int = MAX_LEN, end: int = END, sha
     n = table.agg(F.count("*").alias("documents"), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0)).alias("bytes")).first()
     tokens = n["bytes"] // kind.itemsize
 
-    def found(parts):
-        term = postings(parts, kind, size)[1]
+    def found(texts):
+        term = postings(texts, size)[1]
         return term, np.ones(len(term), np.int64)
 
-    weights = Weights(n["documents"], tokens, summed(table, found, size))
-    line = summed(table, lambda parts: (leading(parts, kind, weights), lengths(parts, kind)), size + 1)
+    weights = Weights(n["documents"], tokens, summed(table, found, kind, size))
+    line = summed(table, lambda texts: (leading(texts, weights), texts.lengths), kind, size + 1)
     count = max(1, -(-tokens // PART_TOKENS), min(partitions(docs.sparkSession), -(-tokens // (2 * shard_tokens))))
     parted = (table.mapInArrow(dealt(kind, weights, line, count), f"part int, place double, row long, {CODED}")
               .repartitionById(count, F.col("part")).sortWithinPartitions("part", "place", "row").select("part", "doc_id", "ids"))

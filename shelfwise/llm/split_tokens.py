@@ -12,6 +12,7 @@ import functools
 import itertools
 import json
 import os
+import re
 import unicodedata
 
 import numpy as np
@@ -22,6 +23,8 @@ import pyarrow.compute as pc
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 WHOLE = r"[\x1c-\x1f]|<\|"
 WORD_END = "</w>"
+#: The tokenizer's own pieces of a stretch of ASCII without apostrophes.
+PIECES = re.compile(r"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
 
 
 @functools.lru_cache(maxsize=4096)
@@ -39,7 +42,7 @@ class SplitEncoder:
     ``longest`` are held for their batch only.
     """
 
-    def __init__(self, path: str, most: int = 1_600_000, longest: int = 48) -> None:
+    def __init__(self, path: str, most: int = 1_200_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -84,7 +87,7 @@ class SplitEncoder:
     def learn(self, new: list[str]) -> None:
         """Put distinct stretches into the young generation."""
         young, old, stops = self.young, self.old, self.stops
-        plain, letters, stopped, other = set(), [], [], []
+        plain, letters, stopped, mixed, other = set(), [], [], [], []
         for w in new:
             if (known := old.get(w)) is not None:
                 young[w] = known
@@ -95,11 +98,16 @@ class SplitEncoder:
                     letters.append(w)
             elif w[-1] in stops and w[:-1].isalpha() and (w.isascii() or stays_letter(w[-2])):
                 stopped.append(w)
+            elif w.isascii() and "'" not in w:
+                mixed.append((w, PIECES.findall(w)))
             else:
                 other.append(w)
-        for w in {w[:-1] for w in stopped}.difference(plain, letters):
+        parts = {w[:-1] for w in stopped}.union(*(p for _, p in mixed))
+        for w in parts.difference(plain, letters):
             if (known := young.get(w) or old.get(w)) is not None:
                 young[w] = known
+            elif not w.isalpha():
+                other.append(w)
             elif w.isascii():
                 plain.add(w)
             else:
@@ -114,6 +122,7 @@ class SplitEncoder:
         other += [w for w, s in zip(letters, single, strict=True) if not s]
         young.update(zip(other, self.whole(other), strict=True))
         young.update((w, young[w[:-1]] + stops[w[-1]]) for w in stopped)
+        young.update((w, b"".join([young[p] for p in pieces])) for w, pieces in mixed)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         if len(self.young) > self.most:

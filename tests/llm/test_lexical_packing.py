@@ -144,6 +144,14 @@ def shard(library):
     return parts, terms, kind, packing.Weights(len(ids), sum(map(len, ids)), found)
 
 
+def test_texts_of_a_column_and_of_parts_agree(shard):
+    parts, _, kind, _ = shard
+    parts = [np.array([2], kind).tobytes(), *parts]
+    for a, b in ((0, len(parts)), (3, 9), (0, 1), (5, 5)):
+        column, other = packing.Texts.of_column(pa.array(parts, pa.binary()).slice(a, b - a), kind), packing.Texts.of_parts(parts[a:b], kind)
+        assert column.ids.tolist() == other.ids.tolist() and column.bounds.tolist() == other.bounds.tolist()
+
+
 def test_the_index_scores_by_bm25(shard):
     parts, terms, kind, weights = shard
     index = packing.Index(parts, kind, weights)
@@ -156,7 +164,7 @@ def test_the_index_scores_by_bm25(shard):
 
 def test_the_leading_term_weighs_most(shard):
     parts, terms, kind, weights = shard
-    got = packing.leading([*parts, np.array([2], kind).tobytes()], kind, weights)
+    got = packing.leading(packing.Texts.of_parts([*parts, np.array([2], kind).tobytes()], kind), weights)
     for t, lead in zip(terms, got, strict=False):
         own = {x: weights.of(np.array([x]), np.array([t.count(x)]), np.array([len(t) + 1]))[0] for x in t}
         assert lead == min(x for x in own if own[x] == max(own.values()))
