@@ -121,6 +121,10 @@ def q_benchmark_breakdown(spark, sf_dir):
     return rounded(pricing.benchmark_breakdown(_inventory(spark, sf_dir)))
 
 
+def q_benchmark_drill(spark, sf_dir):
+    return rounded(pricing.benchmark_drill(_inventory(spark, sf_dir)))
+
+
 def q_price_benchmark_disapproved(spark, sf_dir):
     return rounded(pricing.price_benchmark(_inventory(spark, sf_dir), disapproved_only=True))
 
@@ -182,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_benchmark_disapproved": q_price_benchmark_disapproved,
     "price_benchmark_summary": q_price_benchmark_summary,
     "benchmark_breakdown": q_benchmark_breakdown,
+    "benchmark_drill": q_benchmark_drill,
     "focus_brands": q_focus_brands,
     "reactivation_list": q_reactivation_list,
     "price_suggestion": q_price_suggestion,

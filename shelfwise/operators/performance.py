@@ -1,7 +1,7 @@
 """Ad performance: daily sums per offer and country, then rolling 30/7-day sums.
 
 This is the sub-pipeline both views share. Plan shape: the two dimensions are
-broadcast (after a row-count bound), the daily aggregation is a partial +
+broadcast (published lists of fixed size), the daily aggregation is a partial +
 final hash aggregate (map-side combine before the shuffle), and the ten window
 sums share one partitioning and ordering, hence one Exchange + Sort + Window.
 Each window partition holds the daily rows of one offer/country/language, so
@@ -28,12 +28,12 @@ LONG_WINDOW_DAYS = 30
 SHORT_WINDOW_DAYS = 7
 
 
-def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataFrame) -> DataFrame:
-    """Sum the ad metrics per day, transfer run, merchant, channel, item,
-    language and country. Rows without an item id, or whose country/language
-    id matches no dimension row, are dropped (inner joins). Both
-    dimensions are published reference lists (places and languages), whose size does not
-    depend on the data, so they are broadcast."""
+def located_stats(stats: DataFrame, geo_targets: DataFrame, languages: DataFrame) -> DataFrame:
+    """Ad rows with the key columns of an offer: merchant, channel, item, language and country.
+
+    Rows without an item id, or whose country/language id matches no dimension row, are
+    dropped (inner joins). Both dimensions are published reference lists (places and
+    languages), whose size does not depend on the data, so they are broadcast."""
     geo = F.broadcast(dims.geo_countries(geo_targets))
     lang = F.broadcast(dims.language_codes(languages))
     s = (stats.where(F.col("segments_product_item_id").isNotNull())
@@ -46,10 +46,16 @@ def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataF
              resource_id("segments_product_language").alias("language_criterion_id"),
              "metrics_impressions", "metrics_clicks", "metrics_cost_micros",
              "metrics_conversions", "metrics_conversions_value"))
-    joined = (s.join(geo, s.country_criterion_id == geo.parent_id, "inner")
-              .join(lang, s.language_criterion_id == lang.criterion_id.cast("bigint"), "inner"))
-    return (joined.groupBy("data_date", "latest_date", "merchant_id", "channel", "offer_id",
-                           "language_code", F.col("country_code").alias("target_country"))
+    return (s.join(geo, s.country_criterion_id == geo.parent_id, "inner")
+            .join(lang, s.language_criterion_id == lang.criterion_id.cast("bigint"), "inner")
+            .withColumnRenamed("country_code", "target_country"))
+
+
+def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataFrame) -> DataFrame:
+    """Sum the ad metrics per day, transfer run, merchant, channel, item, language and country."""
+    return (located_stats(stats, geo_targets, languages)
+            .groupBy("data_date", "latest_date", "merchant_id", "channel", "offer_id",
+                     "language_code", "target_country")
             .agg(F.sum("metrics_impressions").alias("impressions"),
                  F.sum("metrics_clicks").alias("clicks"),
                  F.try_divide(F.sum("metrics_cost_micros"), F.lit(1e6)).alias("cost"),

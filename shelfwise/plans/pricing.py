@@ -122,8 +122,9 @@ def _per_pair(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def price_benchmark_summary(inventory: DataFrame, date=None) -> DataFrame:
-    """MA3, MA4 per date and disapproval flag: products with a benchmark and
-    the share cheaper / more expensive / similar (shares add up to 1)."""
+    """MA3, MA4 per date and disapproval flag: products with a benchmark and the share cheaper /
+    more expensive / similar of them. A product without a price (or with a benchmark of zero)
+    is in the denominator and in no class; the shares add up to 1 where there is none."""
     rows = _benchmark_rows(inventory, date)
     keys = ["date", "is_disapproved"]
     return _class_counts(_per_pair(rows, keys), keys)
@@ -144,6 +145,24 @@ def benchmark_breakdown(inventory: DataFrame, date=None) -> DataFrame:
     return _class_counts(_per_pair(expanded, keys), keys)
 
 
+SCOPES = ("all", "disapproved")
+
+
+def benchmark_drill(inventory: DataFrame, date=None) -> DataFrame:
+    """MA5 with MA3 + MA4 at every drill level: per scope (all products, disapproved ones only)
+    the whole selection (dimension ``total``, no value) and each brand, custom label and
+    category. One expansion of each row serves all levels and both scopes."""
+    rows = _benchmark_rows(inventory, date)
+    levels = [F.struct(F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value")),
+              *[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in BREAKDOWN_DIMENSIONS]]
+    scopes = F.when(F.col("is_disapproved"), F.array(*map(F.lit, SCOPES))).otherwise(F.array(F.lit(SCOPES[0])))
+    expanded = (rows.withColumn("scope", F.explode(scopes))
+                .select("date", "scope", "merchant_id", "product_id", "targeted_country", "price_position",
+                        F.inline(F.array(*levels))))
+    keys = ["date", "scope", "dimension", "value"]
+    return _class_counts(_per_pair(expanded, keys), keys)
+
+
 def focus_brands(inventory: DataFrame, date=None, k: int | None = None, ranked: bool = False) -> DataFrame:
     """MA8: brands with the largest share priced above the benchmark, that share first."""
     brands = benchmark_breakdown(inventory, date).where(F.col("dimension") == "brand")

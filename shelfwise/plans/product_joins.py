@@ -8,10 +8,10 @@ Shuffle plan (the product rows are the widest and largest input):
    ``spark.sql.requireAllClusterKeysForCoPartition=false`` each join (and
    the views' final DISTINCT) reuses this partitioning; product ids are
    unique per day, so the partitioning is not skewed.
-2. Offer variants and country statuses are gathered from the same product
-   rows in one pass (Spark prunes that branch to key, offer, language and
-   destinations, a narrow shuffle on the same keys): the narrow side. So the
-   products are read twice, wide and narrow.
+2. Offer variants and country statuses come from the same product rows in one
+   pass (Spark prunes that branch to key, offer, language and destinations, a
+   narrow shuffle on the same keys): the narrow side. So the products are read
+   twice, wide and narrow.
 3. Only the narrow side is shuffled to meet the ad performance (keyed by
    offer, country, language, day) and back.
 4. The wide rows then join the narrow side, the benchmark and the price
@@ -28,7 +28,7 @@ still keeps its status rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators import status
@@ -53,22 +53,31 @@ def partitioned_products(products: DataFrame, only: DataFrame | None = None) ->
     return keyed
 
 
-def status_with_performance(products: DataFrame, perf: DataFrame) -> DataFrame:
-    """Narrow side: (product key, offer variant) x status row x performance.
+def product_variants(products: DataFrame) -> DataFrame:
+    """(product key, offer variant) x status row, each once: every variant of a key meets the
+    statuses of all its rows.
 
-    Variants and statuses of a product key are gathered in one pass over the
-    products: both sets are bounded by the rows and countries of one key, and
-    the grouping reuses the products' partitioning.
+    Nearly all keys stand on one row, and what that row says is all there is. Only where the
+    window over a key counts several rows are their statuses gathered (an aggregate over
+    NULLs holds nothing) and does each variant speak once. The window reuses the products'
+    partitioning and sorts just the narrow columns; nothing is grouped.
     """
-    narrow = (products.select(*PRODUCT_KEY, F.struct(*VARIANT).alias("variant"),
-                              status.country_statuses(F.col("destinations")).alias("statuses"))
-              .dropna(subset=PRODUCT_KEY)
-              .groupBy(*PRODUCT_KEY)
-              .agg(F.collect_set("variant").alias("variants"), F.collect_set("statuses").alias("statuses")))
-    narrow = (narrow.select(*PRODUCT_KEY, F.array_distinct(F.flatten("statuses")).alias("statuses"),
-                            F.inline("variants"))
-              .select(*PRODUCT_KEY, *VARIANT, F.inline("statuses")))
-    return narrow.join(perf, SNAPSHOT_JOIN_KEYS, "left")
+    key = Window.partitionBy(*PRODUCT_KEY).orderBy(*VARIANT)
+    whole = key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    several = F.col("rows_of_key") > 1
+    rows = (products.dropna(subset=PRODUCT_KEY)
+            .select(*PRODUCT_KEY, *VARIANT, F.array_distinct(status.country_statuses(F.col("destinations"))).alias("statuses"))
+            .withColumn("rows_of_key", F.count(F.lit(1)).over(whole))
+            .withColumn("before", F.when(several, F.lag(F.struct(*VARIANT)).over(key)))
+            .withColumn("gathered", F.collect_list(F.when(several, F.col("statuses"))).over(whole))
+            .where(F.col("before").isNull() | ~F.col("before").eqNullSafe(F.struct(*VARIANT))))
+    statuses = F.when(several, F.array_distinct(F.flatten("gathered"))).otherwise(F.col("statuses"))
+    return rows.select(*PRODUCT_KEY, *VARIANT, F.inline(statuses))
+
+
+def status_with_performance(products: DataFrame, perf: DataFrame) -> DataFrame:
+    """Narrow side: (product key, offer variant) x status row x performance."""
+    return product_variants(products).join(perf, SNAPSHOT_JOIN_KEYS, "left")
 
 
 def join_status_and_performance(products: DataFrame, perf: DataFrame) -> DataFrame:

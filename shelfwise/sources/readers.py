@@ -9,7 +9,9 @@ partition, pushed into the Parquet scan otherwise).
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schemas
+from shelfwise.sources import tables
 
 DateLike = str | dt.date | None
 
@@ -71,22 +74,71 @@ def restrict_days(df: DataFrame, start: DateLike = None, end: DateLike = None,
     return df
 
 
+def as_day(value: DateLike) -> dt.date | None:
+    """The day of a date, a timestamp or their text."""
+    if isinstance(value, dt.datetime):
+        return value.date()
+    return value if value is None or isinstance(value, dt.date) else dt.date.fromisoformat(str(value)[:10])
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
                start: DateLike = None, end: DateLike = None,
                date_column: str = "partition_date") -> DataFrame:
     """Scan a daily Parquet table with a fixed schema and an optional day range.
 
-    Raises ``ValueError`` where the files lack a column or have it in another type.
+    A table that this library wrote is read as its newest manifest has it. Raises
+    ``ValueError`` where any day of the range lacks a column or has it in another type.
     """
+    first, last = as_day(start), as_day(end)
+    found = tables.manifest(spark, path)
+    if found:
+        used = {d: x for d, x in found.between(first, last).items() if x.files}
+        seen = {d: found.schemas[x.schema] for d, x in used.items() if x.schema}
+        if len(seen) < len(used):  # days from before the table had a manifest
+            seen |= {d: s for d, s in (footer_schemas(spark, path, date_column, first, last) or {}).items()
+                     if d in used and d not in seen}
+        check_days(seen, schema, path, date_column)
+        return restrict_days(tables.read_days(spark, path, found, schema, first, last), start, end, date_column)
     try:
-        check_schema(spark.read.parquet(path).schema, schema, path)
+        inferred = spark.read.parquet(path).schema
     except AnalysisException as exc:
         if "UNABLE_TO_INFER_SCHEMA" not in str(exc):  # a table whose days are all empty
             raise
+    else:
+        days = footer_schemas(spark, path, date_column, first, last)
+        if days is None:  # one schema for a table without day folders
+            check_schema(inferred, schema, path)
+        check_days(days or {}, schema, path, date_column)
     df = spark.read.schema(schema).parquet(path)
     return restrict_days(df, start, end, date_column)
 
 
+FOOTER_THREADS = 16
+
+
+def footer_schemas(spark: SparkSession, path: str, date_column: str, start: dt.date | None,
+                   end: dt.date | None) -> dict[str, str] | None:
+    """The schema of one file of each day folder of the range, as JSON by day; None for a table
+    without day folders. Executors read the footers, in one small job a day, several at a time."""
+    folder = tables.Folder(spark, path)
+    low, high = (x.isoformat() if x else None for x in (start, end))
+    days = {n.removeprefix(f"{date_column}="): n for n in folder.day_folders(date_column)}
+    if not days:
+        return None
+    days = {d: n for d, n in days.items() if (low is None or low <= d) and (high is None or d <= high)}
+    files = {d: found[0].getPath().toString() for d, n in days.items() if (found := folder.data_files(n))}
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        return dict(zip(files, pool.map(lambda f: spark.read.parquet(f).schema.json(), files.values()), strict=True))
+
+
+def check_days(found: dict[str, str], wanted: T.StructType, path: str, date_column: str) -> None:
+    """:func:`check_schema` for the schemas (JSON) of a table's days; each one is compared once."""
+    wanted = T.StructType([f for f in wanted.fields if f.name != date_column])
+    first_day = {schema: day for day, schema in sorted(found.items(), reverse=True)}
+    for schema, day in sorted(first_day.items(), key=lambda x: x[1]):
+        check_schema(T.StructType.fromJson(json.loads(schema)), wanted, f"{path}, {date_column} {day}")
+
+
 # Types that Parquet reads as a wider one without loss.
 WIDENED = {("int", "bigint"), ("smallint", "int"), ("smallint", "bigint"), ("float", "double"),
            ("int", "double")}
