@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.operators import performance, running_totals
+from shelfwise.operators import performance, ranking, running_totals
 from shelfwise.plans import best_sellers, inventory, popularity, pricing
 from shelfwise.sources import tables
 from shelfwise.sources.readers import (
@@ -419,6 +419,7 @@ def build_marts(spark: SparkSession, output_root: str, date="latest") -> None:
         for name, mart in marts.items():
             write_partitioned(mart(view, day), f"{root}/marts/{name}", replace_all=day is None,
                               days=None if day is None else [day])
+            ranking.drop_written(spark)
 
 
 def register_views(spark: SparkSession, output_root: str) -> None:

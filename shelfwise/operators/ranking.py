@@ -13,7 +13,9 @@ not gather in one task, because the range bounds are cut from the whole order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.session import ensure_checkpoint_dir
@@ -30,23 +32,23 @@ def with_positions(df: DataFrame, group: list[str], order: list[Column], name: s
     """``df`` with ``name``: 1, 2, ... within each ``group`` under ``order``.
 
     ``order`` should be total; rows that tie in it get neighbouring positions in any order.
-    A NULL group is a group. The ranged rows are checkpointed in the shared folder that
-    ``spark.checkpoint.dir`` names: the counts and the rows must see the same partitions,
-    and a lost executor then costs no new ranging. This runs when the frame is built.
+    A NULL group is a group. The ranged rows are written, with their row numbers, to the
+    shared folder that ``spark.checkpoint.dir`` names: the counts and the rows must see the
+    same partitions, and a lost executor then costs no new ranging. This runs when the frame
+    is built; :func:`drop_written` deletes what it left once the frame has been used.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = [F.col(g).asc_nulls_first() for g in group] + order
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint()
-    numbered = ranged.withColumn("__row", F.monotonically_increasing_id())
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    numbered = _written(ranged.withColumn("__row", F.monotonically_increasing_id()))
     piece = F.shiftright("__row", ROW_BITS)
     pieces = (numbered.groupBy(*group, piece.alias("__piece"))
               .agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first")))
     before = Window.partitionBy(*group).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
+    offsets = _written(pieces.select(
         *[F.col(g).alias(f"__{g}") for g in group], F.col("__piece").alias("__of"),
-        (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift")).checkpoint()
+        (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift")))
     # One row for each partition and one more for each group that starts inside one.
     if offsets.count() <= MOST_BROADCAST:
         offsets = F.broadcast(offsets)
@@ -55,6 +57,25 @@ def with_positions(df: DataFrame, group: list[str], order: list[Column], name: s
     return placed.select(*df.columns, (F.col("__row") + F.col("__shift")).alias(name))
 
 
+_FOLDERS: list[str] = []
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a new table in the shared folder, read back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/positions-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete the tables behind the positions given so far."""
+    while _FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def first_or_all(df: DataFrame, group: list[str], order: list[Column], k: int | None,
                  name: str = "position") -> DataFrame:
     """All rows with their position or, with ``k``, the first ``k`` of each group only:

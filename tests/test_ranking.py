@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -71,11 +72,23 @@ def test_equal_rows_take_neighbouring_positions(spark):
 def test_no_task_sees_a_whole_group(spark):
     """One day holds all rows: they lie in several partitions, and no window runs over them."""
     df = spark.range(20_000).selectExpr("'hot' AS day", "CAST(id AS INT) AS id", "CAST(hash(id) AS DOUBLE) AS score")
+    ranking.drop_written(spark)
     got = ranking.with_positions(df, ["day"], _order(), partitions=8)
-    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    ranged = spark.read.parquet(ranking._FOLDERS[-2])
+    sizes = [r["count"] for r in ranged.groupBy(F.shiftright("__row", ranking.ROW_BITS)).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
     assert plan_nodes(got, "Window") == 0 and plan_nodes(got, "Sort") == 0 and plan_nodes(got, "Exchange") == 0
     assert got.where("position = 20000").count() == 1
+    assert got.select("position").distinct().count() == 20_000
+
+
+def test_what_positions_leave_can_be_dropped(spark):
+    ranking.drop_written(spark)
+    ranking.with_positions(_frame(spark, _random_rows(1, 20)), ["day"], _order()).count()
+    left = list(ranking._FOLDERS)
+    assert len(left) == 2 and all(os.path.exists(p.removeprefix("file:")) for p in left)
+    ranking.drop_written(spark)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in left) and not ranking._FOLDERS
 
 
 def test_a_top_k_keeps_the_first_of_each_group(spark):
