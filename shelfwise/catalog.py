@@ -10,16 +10,20 @@ sums as bigint. The SQL twins live in :mod:`shelfwise.oracle`.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise import jobs
+from shelfwise import jobs, schemas
 from shelfwise.operators import dims, performance, status
 from shelfwise.plans import best_sellers, inventory, popularity, pricing
-from shelfwise.sources import tpch_retail
+from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.sources import tables, tpch_retail
+from shelfwise.sources.readers import InputPaths, read_or_empty, read_table, restrict_days
 
 DIGITS = 6
 
@@ -174,6 +178,99 @@ def q_incremental_inventory(spark, sf_dir):
     return rounded(flatten_inventory(jobs.incremental_inventory_view(i, start, end)))
 
 
+# ------------------------------------------------- through the written tables
+
+_WRITTEN: dict = {}
+
+
+def _written(spark, sf_dir):
+    """Where the daily job keeps its tables after a history of deliveries, once per session
+    and folder: the derived inputs are delivered as day tables, first without one ad day and
+    with the last product day of one merchant only; both views are built; what was missing is
+    delivered (a window with timestamps for days, a snapshot); and the days that this reaches
+    are built again. Everything is read and written by the library's own scans and sinks.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _WRITTEN:
+        _WRITTEN[key] = _deliver_and_build(spark, sf_dir)
+    return _WRITTEN[key]
+
+
+def _deliver_and_build(spark, sf_dir):
+    i = _inputs(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
+    paths = InputPaths(f"{root}/in", merchant_id="42", ads_customer_id="7")
+    last = tpch_retail.last_snapshot_day(spark, sf_dir)
+    ads, products = i.shopping_product_stats, i.products
+    late = ads.where(F.col("data_date") < F.lit(last - dt.timedelta(days=8))).agg(F.max("data_date")).first()[0] or last
+    span = (last - dt.timedelta(days=3650), last)
+
+    def deliver(df, name, column="partition_date"):
+        jobs.backfill(lambda start, end: restrict_days(df, start, end, column), paths.path(name),
+                      last + dt.timedelta(days=1), days=(span[1] - span[0]).days + 1, partition_column=column)
+
+    deliver(ads.where(F.col("data_date") != F.lit(late)), "shopping_product_stats", "data_date")
+    deliver(products.where((F.col("partition_date") != F.lit(last)) | (F.col("merchant_id") == 0)), "products")
+    deliver(i.best_sellers_clusters, "best_sellers_product_cluster_weekly")
+    deliver(i.best_sellers_mapping, "best_sellers_entity_product_mapping")
+    for name, df in (("price_competitiveness", i.price_competitiveness), ("price_insights", i.price_insights)):
+        df.write.partitionBy("partition_date").parquet(paths.path(name))  # as another program delivers them
+    # The headers of the two published lists.
+    geo = i.geo_targets.withColumnsRenamed({"criterion_id": "Criteria ID", "name": "Name", "parent_id": "Parent ID",
+                                            "country_code": "Country Code", "target_type": "Target Type"})
+    for name, df in (("geo_targets", geo), ("language_codes", i.language_codes)):
+        df.write.option("header", True).csv(f"{root}/{name}.csv")
+        jobs.load_dimension(spark, f"{root}/{name}.csv", paths.path(name), name)
+
+    cfg = jobs.DailyConfig(inputs=paths, output_root=f"{root}/out")
+    jobs.run_daily(spark, cfg)
+    jobs.refresh_window(
+        lambda start, end: restrict_days(ads, start, end, "data_date").withColumn(
+            "data_date", F.col("data_date").cast("timestamp") + F.expr("INTERVAL 13 HOURS")),
+        paths.path("shopping_product_stats"), late, window_days=0, partition_column="data_date")
+    jobs.ingest_snapshot(products.where(F.col("partition_date") == F.lit(last)).drop("partition_date"),
+                         paths.path("products"), last)
+    jobs.run_changed(spark, cfg)
+    return cfg
+
+
+def q_written_inventory_view(spark, sf_dir):
+    cfg = _written(spark, sf_dir)
+    view = tables.read(spark, f"{cfg.output_root}/{jobs.INVENTORY_TABLE}")
+    return rounded(flatten_inventory(view.select(*schemas.INVENTORY_VIEW_COLUMNS)))
+
+
+def q_written_best_sellers_view(spark, sf_dir):
+    cfg = _written(spark, sf_dir)
+    return rounded(tables.read(spark, f"{cfg.output_root}/{jobs.BEST_SELLERS_TABLE}").select(*schemas.BEST_SELLERS_VIEW_COLUMNS))
+
+
+def q_written_performance(spark, sf_dir):
+    """The shared rolling performance as the job keeps it for the product join."""
+    cfg = _written(spark, sf_dir)
+    view = tables.read(spark, f"{cfg.output_root}/{jobs.PERFORMANCE_TABLE}")
+    return rounded(view.select(*performance.SNAPSHOT_JOIN_KEYS, *schemas.ROLLING_METRICS)).distinct()
+
+
+def q_written_dimensions(spark, sf_dir):
+    """Both dimensions as loaded from their CSV files."""
+    cfg = _written(spark, sf_dir)
+    geo = read_table(spark, cfg.inputs.path("geo_targets"), schemas.GEO_TARGETS)
+    lang = read_table(spark, cfg.inputs.path("language_codes"), schemas.LANGUAGE_CODES)
+    return geo.select(F.lit("location").alias("kind"), F.col("parent_id").alias("id"), F.col("country_code").alias("code")).unionByName(
+        lang.select(F.lit("language").alias("kind"), F.col("criterion_id").cast("bigint").alias("id"), F.col("language_code").alias("code")))
+
+
+def q_undelivered_best_sellers(spark, sf_dir):
+    """The overview while the entity mapping has not been delivered yet: an absent table reads
+    as empty, and no cluster has a product."""
+    i = _inputs(spark, sf_dir)
+    nowhere = f"{ensure_checkpoint_dir(spark).rstrip('/')}/never-delivered"
+    mapping = read_or_empty(spark, f"{nowhere}/mapping", schemas.BEST_SELLERS_MAPPING)
+    view = best_sellers.best_sellers_view(replace(i, best_sellers_mapping=mapping), _rolling(i))
+    return rounded(popularity.best_sellers_overview(view))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_geo": q_dim_geo,
     "dim_language": q_dim_language,
@@ -196,4 +293,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "restock_list": q_restock_list,
     "cluster_gtins": q_cluster_gtins,
     "incremental_inventory": q_incremental_inventory,
+    "written_inventory_view": q_written_inventory_view,
+    "written_best_sellers_view": q_written_best_sellers_view,
+    "written_performance": q_written_performance,
+    "written_dimensions": q_written_dimensions,
+    "undelivered_best_sellers": q_undelivered_best_sellers,
 }
