@@ -54,7 +54,7 @@ def inventory_view(inputs: RetailInputs, rolling: DataFrame | None = None) -> Da
     products = inputs.products.where(
         (F.col("channel") == "online") & status.has_shopping_destination())
     perf = rolling if rolling is not None else rolling_for_join(inputs)
-    keyed = product_joins.partitioned_products(products)
+    keyed = product_joins.partitioned_products(products, bucketed=inputs.bucketed)
     joined = (product_joins.join_status_and_performance(keyed, perf)
               .join(price_insights_rows(inputs.price_insights),
                     ["date", "merchant_id", "product_id"], "left")

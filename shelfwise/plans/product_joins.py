@@ -39,15 +39,17 @@ PRODUCT_PARTITIONING = ["date", "product_id"]
 VARIANT = ["offer_key", "content_language"]
 
 
-def partitioned_products(products: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """Product rows keyed for the joins, hash partitioned on (date, product).
+def partitioned_products(products: DataFrame, only: DataFrame | None = None, bucketed: bool = False) -> DataFrame:
+    """Product rows keyed for the joins, hash partitioned on (date, product), or left as they
+    lie where the table is bucketed by product: the joins then use the buckets.
 
     ``only`` (columns ``date, product_id``) keeps just the products it names
     (a semi join on the same partitioning), before any other join.
     """
     keyed = (products.withColumnRenamed("partition_date", "date")
-             .withColumn("offer_key", F.lower("offer_id"))
-             .repartition(*PRODUCT_PARTITIONING))
+             .withColumn("offer_key", F.lower("offer_id")))
+    if not bucketed:
+        keyed = keyed.repartition(*PRODUCT_PARTITIONING)
     if only is not None:
         keyed = keyed.join(only.select(*PRODUCT_PARTITIONING), PRODUCT_PARTITIONING, "left_semi")
     return keyed

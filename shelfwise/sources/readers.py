@@ -12,7 +12,7 @@ import datetime as dt
 import json
 import re
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -223,6 +223,8 @@ class RetailInputs:
     best_sellers_mapping: DataFrame
     geo_targets: DataFrame
     language_codes: DataFrame
+    # products and both price tables are bucketed by product id (:func:`read_bucketed`)
+    bucketed: bool = False
 
 
 def read_inputs(spark: SparkSession, paths: InputPaths, start: DateLike = None,
@@ -252,3 +254,41 @@ def read_inputs(spark: SparkSession, paths: InputPaths, start: DateLike = None,
         geo_targets=geo,
         language_codes=lang,
     )
+
+
+# The tables that meet on the product, and the column that holds its id.
+BUCKETED = {"products": "product_id", "price_competitiveness": "id", "price_insights": "id"}
+
+
+def write_bucketed(df: DataFrame, table: str, kind: str, buckets: int, mode: str = "overwrite",
+                   path: str | None = None) -> None:
+    """Write one of the tables of ``BUCKETED`` as a catalog table bucketed by product id and
+    partitioned by day. All three need the same number of buckets; a day's product then lies
+    in the same bucket of each, so the views join them where they are."""
+    column = BUCKETED[kind]
+    writer = (df.repartition(buckets, column).write.mode(mode).format("parquet").partitionBy("partition_date")
+              .bucketBy(buckets, column))
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def read_bucketed(spark: SparkSession, inputs: RetailInputs, names: dict[str, str], start: DateLike = None,
+                  end: DateLike = None) -> RetailInputs:
+    """``inputs`` with the tables of ``BUCKETED`` read from the catalog tables ``names``.
+
+    Raises ``ValueError`` where their schemas differ from the expected ones or a table is not
+    bucketed by product id as the others are.
+    """
+    wanted = {"products": schemas.PRODUCTS, "price_competitiveness": schemas.PRICE_COMPETITIVENESS,
+              "price_insights": schemas.PRICE_INSIGHTS}
+    found, layout = {}, set()
+    for kind, column in BUCKETED.items():
+        table = spark.table(names[kind])
+        check_schema(table.schema, wanted[kind], names[kind])
+        about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {names[kind]}").collect()}
+        if about.get("Bucket Columns") != f"[`{column}`]":
+            raise ValueError(f"{names[kind]} is not bucketed by {column}")
+        layout.add(about["Num Buckets"])
+        found[kind] = restrict_days(table.select([f.name for f in wanted[kind].fields]), start, end)
+    if len(layout) > 1:
+        raise ValueError(f"numbers of buckets differ: {sorted(layout)}")
+    return replace(inputs, **found, bucketed=True)
