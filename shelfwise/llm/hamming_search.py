@@ -12,6 +12,7 @@ Equal codes are one code with its k lowest ids, so that a very common code costs
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
@@ -24,6 +25,8 @@ from shelfwise.llm.common import pick, stored
 
 BITS = 64
 K = 10
+#: Probes of one Arrow batch.
+MOST_PROBES = 1 << 17
 
 
 def sign_code(vector: Column) -> Column:
@@ -49,16 +52,32 @@ def probes(parts: list[tuple[int, int]], radius: int):
     def run(batches):
         masks = [np.array([sum(1 << b for b in c) for c in itertools.combinations(range(w), radius)], np.int64) for _, w in parts]
         for b in batches:
-            for query, code in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                for part, ((first, width), mask) in enumerate(zip(parts, masks, strict=True)):
+            for part, ((first, width), mask) in enumerate(zip(parts, masks, strict=True)):
+                if not len(mask):
+                    continue
+                at_once = max(1, MOST_PROBES // len(mask))
+                for i in range(0, b.num_rows, at_once):
+                    query, code = (c.slice(i, at_once).to_numpy() for c in b.columns)
                     own = (code >> first) & ((1 << width) - 1)
-                    n = len(mask)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, query)), pa.array(np.full(n, code)), pa.array(np.full(n, part, np.int32)), pa.array(mask ^ own)],
+                        [pa.array(np.repeat(query, len(mask))), pa.array(np.repeat(code, len(mask))),
+                         pa.array(np.full(len(own) * len(mask), part, np.int32)), pa.array((own[:, None] ^ mask).ravel())],
                         ["query", "query_code", "part", "value"])
     return run
 
 
+def found_first(parts: list[tuple[int, int]], radius: int) -> Column:
+    """Whether this part is the one that finds the pair: no part differs in fewer bits than
+    ``radius`` (a smaller radius found it), and no earlier part in as few."""
+    apart = F.col("query_code").bitwiseXOR(F.col("code"))
+    bits = [F.bit_count(segment(apart, *x)) for x in parts]
+    first = F.lit(False)
+    for p in range(len(parts)):
+        rest = [bits[q] > radius for q in range(p)] + [bits[q] >= radius for q in range(p, len(parts))]
+        first = F.when(F.col("part") == p, functools.reduce(Column.__and__, rest)).otherwise(first)
+    return first
+
+
 def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """The ``k`` rows of ``items`` (id, code) nearest each row of ``queries`` (id, code).
 
@@ -66,36 +85,44 @@ def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     query that is among the items finds itself. Rows with a null id or code take no part,
     repeated ids of one code count once, and fewer than ``k`` items are all returned. An
     empty side gives no rows; other columns are not read.
+
+    Probes and index meet by a shuffle on (part, value): neither is broadcast, whatever
+    their sizes. A pair of codes is met in one part and radius only, so nothing has to be
+    made distinct, and each task keeps a query's ``k`` nearest before the results meet.
     """
+    spark = items.sparkSession
     items = pick(items, "id", "code").dropna().distinct()
     queries = stored(pick(queries, "id", "code").dropna().select(F.col("id").alias("query"), F.col("code").alias("query_code")).distinct(), "queries")
     first = Window.partitionBy("code").orderBy("id")
     lowest = items.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     codes = stored(lowest, "codes")
     n_codes, n_items = codes.agg(F.count("*"), F.coalesce(F.sum(F.least(F.size("ids"), F.lit(k))), F.lit(0))).first()
+    if not n_codes or queries.isEmpty():
+        return spark.createDataFrame([], "query_id long, rank int, neighbor_id long, distance int")
     parts = segments(n_codes)
     want = min(k, n_items)
     best, done, open_ = None, [], queries
-    by_distance = Window.partitionBy("query", "query_code").orderBy("distance", "id")
+    query = ["query", "query_code"]
+    by_distance = Window.partitionBy(*query).orderBy("distance", "id")
     index = codes.withColumn("at", F.explode(F.array(*(
         F.struct(F.lit(p).alias("part"), segment(F.col("code"), *x).alias("value")) for p, x in enumerate(parts))))).select("at.*", "code", "ids")
     for radius in range(max(w for _, w in parts) + 1):
         asked = open_.mapInArrow(probes(parts, radius), "query long, query_code long, part int, value long")
-        met = asked.join(index, ["part", "value"]).select(
-            "query", "query_code", F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).cast("int").alias("distance"), F.explode("ids").alias("id")).distinct()
-        seen = met if best is None else met.unionByName(best).distinct()
+        met = asked.join(index.hint("merge"), ["part", "value"]).where(found_first(parts, radius)).select(
+            *query, F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).cast("int").alias("distance"), F.explode("ids").alias("id"))
+        seen = met if best is None else met.unionByName(best)
         best = seen.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k)
-        best = stored(best.select("query", "query_code", "distance", "id"), "best")
+        best = stored(best.select(*query, "distance", "id"), "best")
         covered = len(parts) * (radius + 1) - 1
-        settled = best.groupBy("query", "query_code").agg(F.count("*").alias("n"), F.max("distance").alias("far")).where(
-            (F.col("n") >= want) & ((F.col("far") <= covered) | (F.col("n") >= n_items))).select("query", "query_code")
-        done.append(best.join(settled, ["query", "query_code"], "left_semi"))
-        open_ = stored(open_.join(settled, ["query", "query_code"], "left_anti"), "open")
+        settled = best.groupBy(*query).agg(F.count("*").alias("n"), F.max("distance").alias("far")).where(
+            (F.col("n") >= want) & ((F.col("far") <= covered) | (F.col("n") >= n_items))).select(*query)
+        done.append(best.join(settled.hint("merge"), query, "left_semi"))
+        open_ = stored(open_.join(settled.hint("merge"), query, "left_anti"), "open")
         if open_.isEmpty():
             break
-        best = best.join(open_, ["query", "query_code"], "left_semi")
+        best = best.join(open_.hint("merge"), query, "left_semi")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    rank = Window.partitionBy("query", "query_code").orderBy("distance", "id")
+    rank = Window.partitionBy(*query).orderBy("distance", "id")
     return out.select(F.col("query").alias("query_id"), F.row_number().over(rank).alias("rank"), F.col("id").alias("neighbor_id"), "distance")
