@@ -1,18 +1,21 @@
 """Exact top-k search over binary codes with incremental multi-index hashing.
 
 A 64-bit code is cut into segments of about log2(number of codes) bits, each an index of
-its own. Codes within Hamming distance d of a query differ from it by at most d // segments
-bits in some segment, so probing each segment with all values within a radius finds them.
-Radii grow together: once every segment is searched to radius r, every code within
-``segments * (r + 1) - 1`` has been seen. A query is done when its k-th verified distance
-is no more than that; only the others grow on.
-
-Equal codes are one code with its k lowest ids, so that a very common code costs one row.
+its own. Radii grow one segment at a time: a step looks up, in one segment, all values that
+differ from the query's in exactly so many bits. A code that no step has found differs from
+the query in more bits than the radius in each segment, so after ``n`` steps every code
+within Hamming distance ``n - 1`` has been seen. A query is done once its k-th verified
+distance is no more than that; only the others grow on. Where a radius has more values than
+the segment has codes, the codes are gone through instead.
+
+Codes are dealt into blocks of bounded size by a hash, and each task builds the index of its
+block; queries go to every block and stream past it, and the blocks' k nearest are merged.
+Probes never leave the task. Equal codes are one code with its k lowest ids, so that a very
+common code costs one row.
 """
 
 from __future__ import annotations
 
-import functools
 import itertools
 import math
 
@@ -22,11 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import pick, stored
+from shelfwise.llm.vectors import best
 
 BITS = 64
 K = 10
-#: Probes of one Arrow batch.
-MOST_PROBES = 1 << 17
+#: Codes of one block, and pairs that are verified at once.
+BLOCK_CODES, MOST_PAIRS = 1 << 20, 1 << 21
 
 
 def sign_code(vector: Column) -> Column:
@@ -43,42 +47,132 @@ def segments(n_codes: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in itertools.pairwise(edges)]
 
 
-def segment(code: Column, first: int, width: int) -> Column:
-    return F.shiftrightunsigned(code, first).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-
-
-def probes(parts: list[tuple[int, int]], radius: int):
-    """Each query's values of each segment that differ from its own in exactly ``radius`` bits."""
+def segment(codes: np.ndarray, first: int, width: int) -> np.ndarray:
+    return (codes >> np.uint64(first)) & np.uint64((1 << width) - 1)
+
+
+class Index:
+    """The segments' indexes of one block of distinct codes (unsigned) with their lowest ids."""
+
+    def __init__(self, codes: np.ndarray, ids: np.ndarray) -> None:
+        self.codes, self.ids = codes, ids
+        self.parts = segments(len(codes))
+        self.order, self.values = [], []
+        for p in self.parts:
+            value = segment(codes, *p)
+            order = np.argsort(value, kind="stable")
+            self.order.append(order)
+            self.values.append(value[order])
+        self.masks: dict[tuple[int, int], np.ndarray] = {}
+
+    def mask(self, width: int, radius: int) -> np.ndarray:
+        """All values of ``width`` bits of which ``radius`` are set."""
+        if (width, radius) not in self.masks:
+            self.masks[width, radius] = np.array(
+                [sum(1 << b for b in c) for c in itertools.combinations(range(width), radius)], np.uint64)
+        return self.masks[width, radius]
+
+    def met(self, queries: np.ndarray, part: int, radius: int):
+        """(place of the query, place of the code) of the pairs that differ in exactly ``radius``
+        bits of ``part``, some of them at a time."""
+        first, width = self.parts[part]
+        own, order, values = segment(queries, first, width), self.order[part], self.values[part]
+        if math.comb(width, radius) < len(values):
+            probes = (own[:, None] ^ self.mask(width, radius)).ravel()
+            start = np.searchsorted(values, probes, "left")
+            count = np.searchsorted(values, probes, "right") - start
+            of = np.repeat(np.arange(len(queries)), len(probes) // len(queries))
+            of, start, count = (x[count > 0] for x in (of, start, count))
+            ends = np.cumsum(count)
+            i = 0
+            while i < len(of):  # whole lookups of about MOST_PAIRS pairs
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + MOST_PAIRS, "right")))
+                n = count[i:j]
+                places = np.arange(n.sum()) + np.repeat(start[i:j] - (np.cumsum(n) - n), n)
+                yield np.repeat(of[i:j], n), order[places]
+                i = j
+        else:
+            at_once = max(1, MOST_PAIRS // len(values))
+            for i in range(0, len(queries), at_once):
+                q, place = np.nonzero(np.bitwise_count(own[i:i + at_once, None] ^ values) == radius)
+                yield q + i, order[place]
+
+    def first_met(self, a: np.ndarray, b: np.ndarray, part: int, radius: int) -> np.ndarray:
+        """Whether no earlier step has met the pairs of codes ``a`` and ``b``: no part differs in
+        fewer bits than ``radius``, and no earlier part in as few."""
+        apart = a ^ b
+        new = np.ones(len(a), bool)
+        for q, p in enumerate(self.parts):
+            if q != part:
+                bits = np.bitwise_count(segment(apart, *p))
+                new &= (bits > radius) if q < part else (bits >= radius)
+        return new
+
+    def nearest(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(place of the query, place of the code, distance) of each query's ``k`` nearest codes,
+        by distance, then lowest id; and the number of pairs verified."""
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)]
+        far = np.full(len(queries), BITS + 1)  # the k-th distance held
+        going, verified = np.arange(len(queries)), 0
+        steps = [(r, p) for r in range(max(w for _, w in self.parts) + 1) for p, (_, w) in enumerate(self.parts) if r <= w]
+        for step, (radius, part) in enumerate(steps):
+            for q, c in self.met(queries[going], part, radius):
+                q = going[q]
+                distance = np.bitwise_count(queries[q] ^ self.codes[c]).astype(np.int64)
+                verified += len(q)
+                near = distance <= far[q]
+                q, c, distance = q[near], c[near], distance[near]
+                new = self.first_met(queries[q], self.codes[c], part, radius)
+                held = [np.concatenate(x) for x in zip(held, (q[new], c[new], distance[new]), strict=True)]
+                keep = best(held[0], -held[2], self.ids[held[1]], held[1], k)
+                held = [h[keep] for h in held]
+                owner, first, count = np.unique(held[0], return_index=True, return_counts=True)
+                full = count >= k
+                far[owner[full]] = held[2][first[full] + k - 1]
+            found = np.bincount(held[0], minlength=len(queries))
+            going = going[(far[going] > step) & (found[going] < len(self.codes))]
+            if not len(going):
+                break
+        return *held, verified
+
+
+def searched(k: int):
+    """Streams rows sorted by block, codes before queries; gives each query's nearest of the block."""
     def run(batches):
-        masks = [np.array([sum(1 << b for b in c) for c in itertools.combinations(range(w), radius)], np.int64) for _, w in parts]
+        current, codes, lists, index = None, [], [], None
         for b in batches:
-            for part, ((first, width), mask) in enumerate(zip(parts, masks, strict=True)):
-                if not len(mask):
+            col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
+            key = np.stack([col["block"].to_numpy(), col["kind"].to_numpy()])
+            edges = [0, *(np.flatnonzero((np.diff(key, axis=1) != 0).any(axis=0)) + 1).tolist(), b.num_rows]
+            for i, j in itertools.pairwise(edges):
+                if i == j:
                     continue
-                at_once = max(1, MOST_PROBES // len(mask))
-                for i in range(0, b.num_rows, at_once):
-                    query, code = (c.slice(i, at_once).to_numpy() for c in b.columns)
-                    own = (code >> first) & ((1 << width) - 1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(query, len(mask))), pa.array(np.repeat(code, len(mask))),
-                         pa.array(np.full(len(own) * len(mask), part, np.int32)), pa.array((own[:, None] ^ mask).ravel())],
-                        ["query", "query_code", "part", "value"])
+                if key[0, i] != current:
+                    current, codes, lists, index = key[0, i], [], [], None
+                if key[1, i] == 0:
+                    codes.append(col["code"].slice(i, j - i).to_numpy())
+                    lists.append(col["ids"].slice(i, j - i))
+                    continue
+                if not codes:
+                    continue  # no code was dealt to this block
+                if index is None:
+                    ids = pa.concat_arrays(lists)
+                    first = ids.flatten().to_numpy()[(ids.offsets.to_numpy() - ids.offsets[0].as_py())[:-1]]
+                    index = Index(np.concatenate(codes).view(np.uint64), first)
+                code, own = (col[n].slice(i, j - i) for n in ("code", "ids"))
+                query, code = own.flatten().to_numpy(), code.to_numpy()
+                q, c, distance, _ = index.nearest(code.view(np.uint64), k)
+                near = ids.take(pa.array(c))
+                times = np.diff(near.offsets.to_numpy())
+                q, distance, id_ = np.repeat(q, times), np.repeat(distance, times), near.flatten().to_numpy()
+                keep = best(q, -distance, id_, id_, k)
+                q, distance, id_ = q[keep], distance[keep], id_[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(query[q]), pa.array(code[q]), pa.array(distance.astype(np.int32)), pa.array(id_)],
+                                                 ["query", "query_code", "distance", "id"])
     return run
 
 
-def found_first(parts: list[tuple[int, int]], radius: int) -> Column:
-    """Whether this part is the one that finds the pair: no part differs in fewer bits than
-    ``radius`` (a smaller radius found it), and no earlier part in as few."""
-    apart = F.col("query_code").bitwiseXOR(F.col("code"))
-    bits = [F.bit_count(segment(apart, *x)) for x in parts]
-    first = F.lit(False)
-    for p in range(len(parts)):
-        rest = [bits[q] > radius for q in range(p)] + [bits[q] >= radius for q in range(p, len(parts))]
-        first = F.when(F.col("part") == p, functools.reduce(Column.__and__, rest)).otherwise(first)
-    return first
-
-
-def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
+def search(items: DataFrame, queries: DataFrame, k: int = K, blocks: int | None = None) -> DataFrame:
     """The ``k`` rows of ``items`` (id, code) nearest each row of ``queries`` (id, code).
 
     Returns query_id, rank (from 1), neighbor_id, distance. Ties go to the lower id; a
@@ -86,43 +180,26 @@ def search(items: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     repeated ids of one code count once, and fewer than ``k`` items are all returned. An
     empty side gives no rows; other columns are not read.
 
-    Probes and index meet by a shuffle on (part, value): neither is broadcast, whatever
-    their sizes. A pair of codes is met in one part and radius only, so nothing has to be
-    made distinct, and each task keeps a query's ``k`` nearest before the results meet.
+    ``blocks`` changes the cost, not the result; by default there are no more blocks than
+    keep the queries' rows below those of the codes, unless memory needs more.
     """
     spark = items.sparkSession
-    items = pick(items, "id", "code").dropna().distinct()
-    queries = stored(pick(queries, "id", "code").dropna().select(F.col("id").alias("query"), F.col("code").alias("query_code")).distinct(), "queries")
+    items = pick(items, "id", "code").dropna().select(F.col("id").cast("long").alias("id"), F.col("code").cast("long").alias("code")).distinct()
+    queries = stored(pick(queries, "id", "code").dropna().select(
+        F.col("id").cast("long").alias("query"), F.col("code").cast("long").alias("query_code")).distinct(), "queries")
     first = Window.partitionBy("code").orderBy("id")
-    lowest = items.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    codes = stored(lowest, "codes")
-    n_codes, n_items = codes.agg(F.count("*"), F.coalesce(F.sum(F.least(F.size("ids"), F.lit(k))), F.lit(0))).first()
-    if not n_codes or queries.isEmpty():
+    lowest = items.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k)
+    codes = stored(lowest.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "codes")
+    n, asked = codes.count(), queries.count()
+    if not n or not asked:
         return spark.createDataFrame([], "query_id long, rank int, neighbor_id long, distance int")
-    parts = segments(n_codes)
-    want = min(k, n_items)
-    best, done, open_ = None, [], queries
-    query = ["query", "query_code"]
-    by_distance = Window.partitionBy(*query).orderBy("distance", "id")
-    index = codes.withColumn("at", F.explode(F.array(*(
-        F.struct(F.lit(p).alias("part"), segment(F.col("code"), *x).alias("value")) for p, x in enumerate(parts))))).select("at.*", "code", "ids")
-    for radius in range(max(w for _, w in parts) + 1):
-        asked = open_.mapInArrow(probes(parts, radius), "query long, query_code long, part int, value long")
-        met = asked.join(index.hint("merge"), ["part", "value"]).where(found_first(parts, radius)).select(
-            *query, F.bit_count(F.col("query_code").bitwiseXOR(F.col("code"))).cast("int").alias("distance"), F.explode("ids").alias("id"))
-        seen = met if best is None else met.unionByName(best)
-        best = seen.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k)
-        best = stored(best.select(*query, "distance", "id"), "best")
-        covered = len(parts) * (radius + 1) - 1
-        settled = best.groupBy(*query).agg(F.count("*").alias("n"), F.max("distance").alias("far")).where(
-            (F.col("n") >= want) & ((F.col("far") <= covered) | (F.col("n") >= n_items))).select(*query)
-        done.append(best.join(settled.hint("merge"), query, "left_semi"))
-        open_ = stored(open_.join(settled.hint("merge"), query, "left_anti"), "open")
-        if open_.isEmpty():
-            break
-        best = best.join(open_.hint("merge"), query, "left_semi")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    rank = Window.partitionBy(*query).orderBy("distance", "id")
-    return out.select(F.col("query").alias("query_id"), F.row_number().over(rank).alias("rank"), F.col("id").alias("neighbor_id"), "distance")
+    if blocks is None:
+        blocks = max(-(-n // BLOCK_CODES), min(spark.sparkContext.defaultParallelism, -(-n // asked)))
+    dealt = codes.select(F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "code", "ids").unionByName(
+        queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"),
+                       F.col("query_code").alias("code"), F.array("query").alias("ids")))
+    dealt = dealt.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind")
+    found = dealt.mapInArrow(searched(k), "query long, query_code long, distance int, id long")
+    rank = Window.partitionBy("query", "query_code").orderBy("distance", "id")
+    ranked = found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+    return ranked.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("neighbor_id"), "distance")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import pick, stored
-from shelfwise.llm.vectors import common_width, finite_rows
+from shelfwise.llm.vectors import best, common_width, finite_rows
 
 #: Vector entries are floor(SCALE * entry).
 SCALE = 256
@@ -135,14 +135,6 @@ class Block:
         return self.order[of], self.bound[of]
 
 
-def best(owner: np.ndarray, score: np.ndarray, id_: np.ndarray, row: np.ndarray, most: int) -> np.ndarray:
-    """Places of each owner's first ``most`` entries: by falling score, then id, then row."""
-    order = np.lexsort((row, id_, -score, owner))
-    first = np.flatnonzero(np.diff(owner[order], prepend=-1))
-    rank = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
-    return order[rank < most]
-
-
 def walk(block: Block, members: dict, same: bool, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The first ``most`` candidates within each window of each member of one cluster and label:
     (place in the flat member x window table, candidate, score).

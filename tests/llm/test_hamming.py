@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from shelfwise.llm import hamming_search
 
@@ -58,30 +57,50 @@ def test_empty_sides_give_no_rows(spark):
         assert got.collect() == [] and got.columns == ["query_id", "rank", "neighbor_id", "distance"]
 
 
-def test_each_pair_is_found_in_one_part_and_radius(spark):
-    parts = hamming_search.segments(1000)
-    rng = np.random.default_rng(1)
-    pairs = [(int(a), int(a) ^ int(b) & int(c) & int(d)) for a, b, c, d in rng.integers(-2 ** 62, 2 ** 62, (300, 4))]
-    df = spark.createDataFrame(pairs, "query_code long, code long").withColumn("part", F.explode(F.array(*map(F.lit, range(len(parts))))))
-    apart = F.col("query_code").bitwiseXOR(F.col("code"))
-    at = [F.bit_count(hamming_search.segment(apart, *p)) for p in parts]
-    met = None
-    for radius in range(max(w for _, w in parts) + 1):
-        here = df.where(F.array(*at)[F.col("part")] == radius).where(hamming_search.found_first(parts, radius))
-        met = here if met is None else met.unionByName(here)
-    found = met.groupBy("query_code", "code").count().collect()
-    assert len(found) == len(set(pairs)) and all(r["count"] == pairs.count((r["query_code"], r["code"])) for r in found)
-
-
-def test_neither_side_is_broadcast(spark, monkeypatch):
-    plans = []
-    kept = hamming_search.stored
-    monkeypatch.setattr(hamming_search, "stored", lambda df, name: (plans.append((name, df._jdf.queryExecution().toString())), kept(df, name))[1])
+@pytest.mark.parametrize("blocks", [1, 3, 40])
+def test_blocks_change_nothing(spark, blocks):
+    rows = list(enumerate(some_codes(300)))
+    got = hamming_search.search(table(spark, rows), table(spark, rows[::20]), 5, blocks=blocks)
+    assert sorted(map(tuple, got.collect())) == all_pairs(rows, rows[::20], 5)
+
+
+def unsigned(codes):
+    return np.unique(np.array(codes, np.int64)).view(np.uint64)
+
+
+@pytest.mark.parametrize("most_pairs", [1 << 21, 7])
+def test_each_pair_is_met_once_and_every_pair_is(monkeypatch, most_pairs):
+    monkeypatch.setattr(hamming_search, "MOST_PAIRS", most_pairs)
+    codes = unsigned(some_codes(120))
+    index = hamming_search.Index(codes, np.arange(len(codes)))
+    met = []
+    for radius in range(max(w for _, w in index.parts) + 1):
+        for part, (_, width) in enumerate(index.parts):
+            for q, c in index.met(codes[:9], part, radius) if radius <= width else ():
+                new = index.first_met(codes[:9][q], codes[c], part, radius)
+                met += zip(q[new].tolist(), c[new].tolist(), strict=True)
+    assert sorted(met) == [(q, c) for q in range(9) for c in range(len(codes))]
+
+
+def test_near_queries_verify_few_pairs():
+    """Growth ends where the k-th distance is covered: most codes are never verified."""
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 2 ** 63, 20_000).astype(np.uint64))
+    queries = np.concatenate([codes[:50]])
+    near = np.concatenate([codes, *(queries ^ np.uint64(1 << b) for b in (3, 17, 40))])
+    near = np.unique(near)
+    index = hamming_search.Index(near, np.arange(len(near)))
+    q, c, distance, verified = index.nearest(queries, 4)
+    assert len(q) == 200 and sorted(distance.tolist()) == [0] * 50 + [1] * 150
+    assert verified < 50 * len(near) / 100
+
+
+def test_no_side_is_broadcast(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     try:
         rows = list(enumerate(some_codes(60)))
-        hamming_search.search(table(spark, rows), table(spark, rows[:5]), 3).collect()
+        got = hamming_search.search(table(spark, rows), table(spark, rows[:5]), 3)
+        assert "Broadcast" not in got._jdf.queryExecution().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert plans and not any("BroadcastExchange" in text for _, text in plans)
