@@ -25,12 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import partitions, pick, stored
 from shelfwise.llm.split_tokens import SplitEncoder
+from shelfwise.llm.tokens import gathered
 
 MAX_LEN, END = 4096, 2
 #: BM25's usual parameters.
@@ -47,26 +47,6 @@ def encoder(path: str) -> SplitEncoder:
     return SplitEncoder(path)
 
 
-def gathered(batches, most: int = 20_000_000):
-    """The batches' rows again, in tables of about ``most`` bytes of text, or one row with more."""
-    held, size = [], 0
-    for b in batches:
-        ends = np.cumsum(pc.binary_length(b.column(1)).fill_null(0).to_numpy())
-        start = 0
-        while start < b.num_rows:
-            before = ends[start - 1] if start else 0
-            end = max(start + (not held), int(np.searchsorted(ends, before + most - size, "right")))
-            if end > start:
-                held.append(b.slice(start, end - start))
-                size += ends[end - 1] - before
-            if end < b.num_rows:
-                yield pa.Table.from_batches(held).combine_chunks()
-                held, size = [], 0
-            start = end
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def coded(path: str, end: int):
     """Each text's ids with the end id."""
     def run(batches):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import pick, stored
-from shelfwise.llm.tokens import WordEncoder, by_bytes
+from shelfwise.llm.tokens import WordEncoder, gathered
 
 MAX_LEN = 2048
 SEPARATOR = 0
@@ -44,14 +44,12 @@ def pieces_of(path: str, max_len: int, separator: int):
     def run(batches):
         end = np.array([separator], "<u4").tobytes()
         enc = encoder(path)
-        for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        for t in gathered(batches):
             out = []
-            for i, j in by_bytes(texts):
-                for doc_id, coded in zip(ids[i:j], enc.encode(texts[i:j]), strict=True):
-                    coded += end
-                    out += [(doc_id, k, s, n, zlib.crc32(coded[4 * s:4 * (s + n)]))
-                            for k, (s, n) in enumerate(cuts(len(coded) // 4, max_len))]
+            for doc_id, coded in zip(t.column(0).to_pylist(), enc.encode(t.column(1).combine_chunks()), strict=True):
+                coded += end
+                out += [(doc_id, k, s, n, zlib.crc32(coded[4 * s:4 * (s + n)]))
+                        for k, (s, n) in enumerate(cuts(len(coded) // 4, max_len))]
             cols = list(zip(*out, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],

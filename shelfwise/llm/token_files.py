@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import partitions, pick, shared_folder
-from shelfwise.llm.tokens import WordEncoder, by_bytes
+from shelfwise.llm.tokens import WordEncoder, gathered
 
 END = 2
 #: The dictionary is trained on about this many documents, of each at most so many bytes of ids.
@@ -45,7 +45,7 @@ def id_width(path: str) -> int:
     return 2 if encoder(path).library.get_vocab_size() <= 1 << 16 else 4
 
 
-def serialised(path: str, texts: list[str | None], end: int, width: int):
+def serialised(path: str, texts: pa.Array | list[str | None], end: int, width: int):
     """Each text's ids with the end id, in the stored width."""
     tail = np.array([end], "<u4").tobytes()
     for coded in encoder(path).encode(texts):
@@ -90,14 +90,12 @@ def decompressor(dictionary: bytes):
 def frames(path: str, dictionary: bytes, bounds: list[int], end: int, width: int):
     def run(batches):
         pack = compressor(dictionary)
-        for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in by_bytes(texts):
-                raw = list(serialised(path, texts[i:j], end, width))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i:j], pa.int64()), pa.array([len(x) // width for x in raw], pa.int64()),
-                     pa.array([0 if d is None else bisect.bisect_right(bounds, d) for d in ids[i:j]], pa.int32()),
-                     pa.array([pack.compress(x) for x in raw], pa.binary())], ["doc_id", "n_tokens", "range", "frame"])
+        for t in gathered(batches):
+            ids, raw = t.column(0).to_pylist(), list(serialised(path, t.column(1).combine_chunks(), end, width))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array([len(x) // width for x in raw], pa.int64()),
+                 pa.array([0 if d is None else bisect.bisect_right(bounds, d) for d in ids], pa.int32()),
+                 pa.array([pack.compress(x) for x in raw], pa.binary())], ["doc_id", "n_tokens", "range", "frame"])
     return run
 
 

@@ -10,9 +10,15 @@ start of a special token, are encoded whole.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: The byte-level sign of a space.
+SPACE = "\u0120"
 
 
 class WordEncoder:
@@ -29,9 +35,13 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        # The same merges for words of ASCII letters, which are their own byte-level signs.
+        bare = json.loads(self.library.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"},
+                                                    "post_processor": None, "added_tokens": []}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
         vocab = self.library.get_vocab()
         self.starts = np.zeros(max(vocab.values()) + 1, bool)  # ids that start with a space
-        self.starts[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
+        self.starts[[i for token, i in vocab.items() if token.startswith(SPACE)]] = True
         self.tails = dict(zip(".,", self.whole([".", ","]), strict=True))
         self.young: dict[str, bytes | bool] = {}
         self.old: dict[str, bytes | bool] = {}
@@ -42,9 +52,16 @@ class WordEncoder:
 
     def coded(self, words: list[str]) -> list[bytes]:
         """Ids of words that follow a space each: one text of all of them, cut before each space."""
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        known = dict(zip(plain, self.cut_up(self.bare, " ".join([SPACE + w for w in plain]), plain), strict=True))
+        rest = [w for w in words if w not in known]
+        known.update(zip(rest, self.cut_up(self.library, " " + " ".join(rest), rest), strict=True))
+        return [known[w] for w in words]
+
+    def cut_up(self, by, text: str, words: list[str]) -> list[bytes]:
         if not words:
             return []
-        ids = np.array(self.library.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(by.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.starts[ids])
         if len(ends) != len(words):
             return self.whole([" " + w for w in words])
@@ -76,33 +93,55 @@ class WordEncoder:
             young[w] = stem and stem + self.tails[w[-1]]
         return [w for w in [*fresh, *ended] if len(w) > self.longest]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Arrow cuts the texts and numbers their distinct words, each of which is looked up once."""
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
         young = self.young
-        cut = [(t or "").split(" ") for t in texts]
-        heads = self.whole([c.pop(0) for c in cut])
-        parts = [list(map(young.get, c)) for c in cut]
-        gaps = [[i for i, x in enumerate(p) if x is None] for p in parts]
-        long = self.learn({c[i] for c, g in zip(cut, gaps, strict=True) for i in g})
-        out: list[bytes] = []
-        for text, head, words, part, gap in zip(texts, heads, cut, parts, gaps, strict=True):
-            for i in gap:
-                part[i] = young[words[i]]
-            # The head of a text with words after it must end like a word, too.
-            safe = not words or text[0] != " " and not head_end(text).isspace()
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        cut = pc.split_pattern(texts, " ")
+        flat = cut.flatten().dictionary_encode()
+        words = flat.dictionary.to_pylist()
+        coded = list(map(young.get, words))
+        if None in coded:
+            long = self.learn({w for w, x in zip(words, coded, strict=True) if x is None})
+            coded = list(map(young.get, words))
+            for w in long:
+                young.pop(w, None)
+        places, bounds = flat.indices.to_numpy().tolist(), cut.offsets.to_numpy()
+        bounds = (bounds - bounds[0]).tolist()
+        heads = [words[places[a]] for a in bounds[:-1]]
+        coded_at, out = coded.__getitem__, []
+        for i, (a, b, head, ids) in enumerate(zip(bounds[:-1], bounds[1:], heads, self.whole(heads), strict=True)):
             try:
-                out.append(head + b"".join(part) if safe else self.whole([text])[0])
+                # The head of a text with words after it must end like a word, too.
+                if b - a > 1 and (not head or head[-1].isspace()):
+                    raise TypeError
+                out.append(ids + b"".join(map(coded_at, places[a + 1:b])))
             except TypeError:  # a word that may not be cut off
-                out.append(self.whole([text])[0])
-        for w in long:
-            young.pop(w, None)
+                out.append(self.whole([texts[i].as_py()])[0])
         return out
 
 
-def head_end(text: str) -> str:
-    """The character before the first space."""
-    return text[text.index(" ") - 1]
+def gathered(batches, most: int = 20_000_000):
+    """The batches' rows again, in tables of about ``most`` bytes of text (their second column),
+    or of one row with more."""
+    held, size = [], 0
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(1)).fill_null(0).to_numpy())
+        start = 0
+        while start < b.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + (not held), int(np.searchsorted(ends, before + most - size, "right")))
+            if end > start:
+                held.append(b.slice(start, end - start))
+                size += ends[end - 1] - before
+            if end < b.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+            start = end
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def by_bytes(texts: list[str | None], most: int = 2_000_000):

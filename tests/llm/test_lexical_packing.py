@@ -15,6 +15,7 @@ import pytest
 
 from shelfwise.llm import lexical_packing as packing
 from shelfwise.llm.split_tokens import NOT_SPACE, SplitEncoder
+from shelfwise.llm.tokens import gathered
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, part string, place string, row string, ids string, n string"
@@ -68,10 +69,10 @@ def test_arrow_and_the_tokenizer_agree_on_white_space(library):
 def test_batches_are_gathered_by_bytes():
     batches = [pa.RecordBatch.from_pydict({"id": list(range(len(x))), "text": pa.array(x, pa.string())}) for x in (
         ["ab", None, "", "abcd", "a"], [], ["b", "c", "d", "efghi"], ["j"])]
-    got = [t.column(1).to_pylist() for t in packing.gathered(iter(batches), 3)]
+    got = [t.column(1).to_pylist() for t in gathered(iter(batches), 3)]
     assert got == [["ab", None, ""], ["abcd"], ["a", "b", "c"], ["d"], ["efghi"], ["j"]]
-    assert [t.num_rows for t in packing.gathered(iter(batches), 1000)] == [10]
-    assert list(packing.gathered(iter([]), 3)) == []
+    assert [t.num_rows for t in gathered(iter(batches), 1000)] == [10]
+    assert list(gathered(iter([]), 3)) == []
 
 
 def check_pieces(got, docs, library, max_len):
