@@ -2,8 +2,8 @@
 
 Filters of several widths run over the bytes of a fixed-length window, each keeps its
 maximum over the window, and a softmax over the maxima gives the language. Training is
-plain numpy on a bounded sample of labelled texts (SAMPLE_DOCS documents, chosen by a hash
-and dealt evenly over the languages). A byte's embedding times a filter's tap is one row
+plain numpy on a bounded sample of labelled texts: SAMPLE_DOCS documents, chosen by a hash
+and dealt evenly over all languages, and EACH of a language at least (all, if it has fewer). A byte's embedding times a filter's tap is one row
 of a table, so a trained filter is applied by adding table rows. A text is cut into
 windows from its start to its end and its windows' probabilities are averaged by length.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -20,12 +20,13 @@ from shelfwise.llm.common import marked, pick, unmarked
 
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 16, 12
-#: Bounds of what is fitted: labelled documents, languages, windows of each document.
-SAMPLE_DOCS, LANGUAGES, SAMPLE_WINDOWS = 2000, 64, 2
+#: Bounds of what is fitted: labelled documents in all, and of each language at least.
+SAMPLE_DOCS, EACH = 2000, 8
 STEPS, BATCH, RATE = 500, 64, 0.004
 NONE = "und"
-#: A score below which `known` rejects a text: hardly more than chance among four languages.
-LEAST = 0.35
+#: `known` rejects a text whose score is above chance by less than this share of what is left to
+#: certainty (0.35 among four languages).
+LEAST = 2 / 15
 
 
 def held_out(doc_id: Column) -> Column:
@@ -118,27 +119,31 @@ def probabilities(t: dict, x: np.ndarray, at_once: int = 32) -> np.ndarray:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], dict | None]:
     """Languages and network, from rows with a lang that are not held out."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    often = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not often:
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
         return [], None
-    langs = sorted(r["lang"] for r in often)
-    each = -(-sample_docs // len(langs))
-    share = F.create_map(*(F.lit(x) for r in often for x in (r["lang"], min(1 << 20, 1 + (2 * each << 20) // r["count"]))))
-    some = labelled.where(F.col("lang").isin(langs) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")]))
+    each = max(EACH, -(-sample_docs // len(counts)))
+    # About twice as many as are wanted, chosen by a hash of each row, then the first of each
+    # language by that hash; repeated rows are one.
+    share = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1 << 20, 1 + (2 * each << 20) // n))))
+    some = labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("key")).where(
+        F.pmod("key", F.lit(1 << 20)) < share[F.col("lang")]).dropDuplicates(["lang", "key"])
+    first = Window.partitionBy("lang").orderBy("key")
+    some = some.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= each)
 
     def run(batches):
         for b in batches:
             key, lang, raw = [], [], []
             for d, text, name in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 x = windows(text.encode("utf-8", "surrogatepass"))
-                for k in {0, len(x) // 2} if len(x) else ():
+                for k in {0, len(x) // 2} if len(x) else ():  # the first and the middle one
                     key.append(d)
                     lang.append(name)
                     raw.append(x[k].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(lang), pa.array(raw, pa.binary())], ["doc_id", "lang", "raw"])
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(lang), pa.array(raw, pa.binary())], ["key", "lang", "raw"])
 
-    rows = some.select("doc_id", "text", "lang").limit(4 * sample_docs).mapInArrow(run, "doc_id long, lang string, raw binary").collect()
-    rows = sorted({(r["doc_id"], r["lang"], bytes(r["raw"])) for r in rows})
+    rows = some.select("key", "text", "lang").mapInArrow(run, "key long, lang string, raw binary").collect()
+    rows = sorted({(r["key"], r["lang"], bytes(r["raw"])) for r in rows})
     langs = sorted({lang for _, lang, _ in rows})
     if not langs:
         return [], None
@@ -174,12 +179,13 @@ def predicted(langs: list[str], net, text: int):
     return run
 
 
-def applied(rows: DataFrame, text: int, learnt: DataFrame) -> DataFrame:
-    """``rows`` with lang_pred and score of their column number ``text``; learns from ``learnt``."""
+def applied(rows: DataFrame, text: int, learnt: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with lang_pred and score of their column number ``text``, and how many languages
+    were learnt from ``learnt``."""
     langs, net = fit(learnt)
     shared = rows.sparkSession.sparkContext.broadcast(net)
     schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(predicted(langs, shared, text), schema)
+    return rows.mapInArrow(predicted(langs, shared, text), schema), len(langs)
 
 
 def columns(docs: DataFrame) -> DataFrame:
@@ -189,18 +195,25 @@ def columns(docs: DataFrame) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: doc_id, held_out, lang_pred, score.
 
-    A text that is null or without letters is ``und`` with score 0; so is every text where
-    there is no labelled row to learn from. A null doc_id is not held out and not learnt
-    from. Repeated rows are predicted each; an empty table gives no rows; other columns are
-    not read. Predictions read the text only, all of it.
+    Every lang value of the rows to learn from is learnt, however many there are. A text that
+    is null or without letters is ``und`` with score 0; so is every text where there is no
+    labelled row to learn from. A null doc_id is not held out and not learnt from. Repeated
+    rows are predicted each and learnt once; an empty table gives no rows; other columns are
+    not read. Predictions read the text only, all of it. Reruns agree.
     """
     rows = columns(docs)
-    out = applied(rows.select("doc_id", "text"), 1, rows)
+    out, _ = applied(rows.select("doc_id", "text"), 1, rows)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def known(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score of ``least`` or more."""
+    """The rows of ``docs`` whose text has a language with a sure enough score: above chance by
+    ``least`` of the way to 1. Where one language is all that was learnt nothing tells texts
+    apart, and every text with letters stays.
+
+    Null and empty texts and those without letters go; repeated rows stay or go together;
+    an empty table stays empty; all columns are kept, whatever their names."""
     flat, names = marked(docs)
-    out = applied(flat, names.index("text"), columns(docs))
-    return unmarked(out.where((F.col("lang_pred") != NONE) & (F.col("score") >= least)), names)
+    out, n = applied(flat, names.index("text"), columns(docs))
+    chance = 1 / max(n, 1)
+    return unmarked(out.where((F.col("lang_pred") != NONE) & (F.col("score") >= chance + least * (1 - chance))), names)

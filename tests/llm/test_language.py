@@ -1,0 +1,113 @@
+"""Language ID: the network against a plain forward pass and numeric gradients, all labels
+learnt, reruns, and thresholds by the number of languages."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from shelfwise.llm import language_id as lang
+
+SCHEMA = "doc_id long, text string, lang string, key string, nth int, score string, LANG string"
+
+
+def table(spark, rows, parts=3):
+    return spark.createDataFrame([(*r, "k", 1, "s", "l") for r in rows], SCHEMA).repartition(parts)
+
+
+def plain_probabilities(p, window):
+    """One window, loop by loop."""
+    hidden = []
+    for w in lang.WIDTHS:
+        for f in range(lang.FILTERS):
+            best = -np.inf
+            for at in range(lang.WINDOW - w + 1):
+                best = max(best, sum(float(p["E"][window[at + j]] @ p[f"F{w}"][j][:, f]) for j in range(w)))
+            hidden.append(max(best + float(p[f"b{w}"][f]), 0.0))
+    logits = [sum(h * float(p["O"][i, c]) for i, h in enumerate(hidden)) + float(p["o"][c]) for c in range(p["O"].shape[1])]
+    e = np.exp(np.array(logits) - max(logits))
+    return e / e.sum()
+
+
+@pytest.fixture(scope="module")
+def net():
+    rng = np.random.default_rng(3)
+    p = lang.start(3, rng)
+    p["o"] += rng.normal(size=3).astype(np.float32)
+    for w in lang.WIDTHS:
+        p[f"b{w}"] += rng.normal(0, 0.3, lang.FILTERS).astype(np.float32)
+    return p, rng.integers(0, 256, (4, lang.WINDOW)).astype(np.uint8), np.array([0, 2, 1, 1])
+
+
+def test_the_applied_network_is_the_plain_one(net):
+    p, x, _ = net
+    got = lang.probabilities(lang.tables(p), x, at_once=3)
+    assert got == pytest.approx(np.array([plain_probabilities(p, w) for w in x]), abs=1e-5)
+
+
+def test_gradients_are_those_of_the_loss(net):
+    p, x, y = net
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+
+    def loss(q):
+        return -np.mean([np.log(lang.probabilities(lang.tables(q), x)[i, c]) for i, c in enumerate(y)])
+
+    got = lang.gradients(p, x, y)
+    rng = np.random.default_rng(1)
+    for name, value in p.items():
+        flat = value.reshape(-1)
+        for at in {int(abs(got[name]).argmax()), *rng.integers(0, flat.size, 3).tolist()}:
+            kept = flat[at]
+            high, low = (loss(p) for flat[at] in (kept + 1e-5, kept - 1e-5))
+            flat[at] = kept
+            assert got[name].reshape(-1)[at] == pytest.approx((high - low) / 2e-5, abs=1e-6)
+
+
+def alphabets(labels, each, repeat=1):
+    """Labels that each have letters of their own."""
+    rng = np.random.default_rng(5)
+    rows, n = [], 0
+    for k in range(labels):
+        letters = [chr(0x4E00 + 40 * k + j) for j in range(12)]
+        for _ in range(each):
+            n += 1
+            rows += [(n, "".join(rng.choice(letters, 120)), f"l{k:02}")] * repeat
+    return rows
+
+
+def test_every_label_is_learnt(spark):
+    langs, _ = lang.fit(lang.columns(table(spark, alphabets(70, 6))))
+    assert langs == [f"l{k:02}" for k in range(70)]
+
+
+def test_reruns_agree_also_with_repeated_ids_and_rows(spark):
+    rows = alphabets(3, 30, repeat=2) + [(7, f"text {i} of one id", "l01") for i in range(300)]
+    one, other = (lang.identify(table(spark, rows, parts)).collect() for parts in (2, 5))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, other))
+    assert len(one) == len(rows)
+
+
+def test_what_is_learnt_is_bounded_and_even(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lang, "train", lambda x, y, n, **k: (seen.append(np.bincount(y).tolist()), lang.start(n, np.random.default_rng(1)))[1])
+    rows = [(i, f"some words of document {i}", "big") for i in range(2000)] + [(5000 + i, f"wenige worte {i}", "small") for i in range(40)]
+    lang.fit(lang.columns(table(spark, rows)), sample_docs=40)
+    assert seen[0][0] == 20 and 18 <= seen[0][1] <= 20  # one window each, both languages alike
+
+
+def test_thresholds_follow_the_number_of_languages(spark, monkeypatch):
+    rows = [(1, "abc", "x"), (2, "", "x"), (3, None, "x"), (4, "1 2", "x")]
+
+    def kept(n, score):
+        def applied(flat, text, learnt):
+            from pyspark.sql import functions as F
+            has = F.coalesce(F.col(flat.columns[text]).rlike("[a-z]"), F.lit(False))
+            return flat.withColumn("lang_pred", F.when(has, "x").otherwise(lang.NONE)).withColumn("score", F.lit(score)), n
+        monkeypatch.setattr(lang, "applied", applied)
+        got = lang.known(table(spark, rows))
+        assert got.columns == [c.split(" ")[0] for c in SCHEMA.split(", ")]
+        return [r["doc_id"] for r in got.collect()]
+
+    assert kept(4, 0.351) == [1] and kept(4, 0.349) == []
+    assert kept(1, 1.0) == [1]
+    assert kept(100, 0.145) == [1] and kept(100, 0.14) == []
