@@ -4,20 +4,24 @@ A source's target is its share of all sizes by weight, at most ``most`` times it
 size; the excess is shared anew by weight. Each of its documents is taken a whole number
 of times, and once more with a fractional probability that is the same for the source.
 
-The cube method draws those extra copies. Three documents at a time have a direction in
-which their probabilities can move while the balance of documents and of sizes stays
-unchanged (the null space of the two constraints); the move goes on until one probability
-is 0 or 1, and its sense is drawn so that expectations stay. That leaves at most two
-documents of a group. Groups are buckets of a source's documents, so that a hot source is
+The cube method draws those extra copies. Documents have directions in which their
+probabilities can move while the balance of documents and of sizes stays unchanged (the null
+space of the two constraints); a move goes on until one probability is 0 or 1, and its sense
+is drawn so that expectations stay. The direction taken moves the largest document that is
+still a fraction against all smaller ones, so large documents settle while there are many
+small ones to make up for them, and what is left, at most two documents of a group, is small. Groups are buckets of a source's documents, so that a hot source is
 many groups; what they leave meets in larger groups, until each source is one group.
 There landing gives up the balance of documents, moves two documents along the balance of
-sizes, and draws the last one.
+sizes, and draws the last one. A source of one group lands in it at once; where its few
+documents cannot keep the balance, a large one among them, the nearest exchanges bring its
+sizes back (expectations stay but for these).
 """
 
 from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,13 +59,25 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
         F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def direction(s: list[float]) -> list[float]:
-    """A vector of the null space of the rows (sizes, ones) for two or three documents."""
-    if len(s) == 2:
-        return [1.0, -1.0] if s[0] == s[1] else [0.0, 0.0]
-    u = [s[1] - s[2], s[2] - s[0], s[0] - s[1]]
-    scale = max(map(abs, u))
-    return [x / scale for x in u] if scale else [1.0, -1.0, 0.0]
+def direction(size: np.ndarray) -> np.ndarray | None:
+    """A vector of the null space of the rows (sizes, ones): the first document, which is the
+    largest, moves by 1 and the others make up for it together, each by a line in its size.
+    So a large document settles while the many small ones hardly move. None for two
+    documents of different sizes, or fewer."""
+    n = len(size) - 1
+    if n < 1:
+        return None
+    rest = size[1:]
+    total, squares = rest.sum(), (rest * rest).sum()
+    spread = n * squares - total * total
+    if spread > 1e-9 * n * max(squares, 1.0):
+        slope = (total - n * size[0]) / spread
+        return np.concatenate([[1.0], -(1.0 + slope * total) / n + slope * rest])
+    if size[0] == rest[0]:
+        return np.concatenate([[1.0], np.full(n, -1.0 / n)])
+    if n > 1:  # the others are of one size: they settle among themselves
+        return np.concatenate([[0.0, 1.0], np.full(n - 1, -1.0 / (n - 1))])
+    return None
 
 
 def move(p: list[float], u: list[float], draw: float) -> None:
@@ -75,20 +91,21 @@ def move(p: list[float], u: list[float], draw: float) -> None:
 
 
 def flight(p: list[float], size: list[int], draw) -> None:
-    """Move all probabilities until no direction is left: at most two stay fractions."""
-    held: list[int] = []
-    coming = iter(i for i, x in enumerate(p) if 0 < x < 1)
-    while True:
-        while len(held) < 3 and (i := next(coming, None)) is not None:
-            held.append(i)
-        u = direction([float(size[i]) for i in held]) if len(held) > 1 else []
-        if not any(u):
-            return
-        now = [p[i] for i in held]
-        move(now, u, draw())
-        for i, x in zip(held, now, strict=True):
-            p[i] = x
-        held = [i for i in held if 0 < p[i] < 1]
+    """Move all probabilities until no direction is left: at most two stay fractions. The
+    largest document that is one goes first."""
+    now, sizes = np.array(p, float), np.array(size, float)
+    held = np.argsort(-sizes, kind="stable")
+    held = held[(now[held] > 0) & (now[held] < 1)]
+    while (u := direction(sizes[held])) is not None:
+        x = now[held]
+        with np.errstate(divide="ignore"):
+            ahead = np.where(u > 0, (1 - x) / u, np.where(u < 0, x / -u, np.inf)).min()
+            back = np.where(u > 0, x / u, np.where(u < 0, (1 - x) / -u, np.inf)).min()
+        x = x + (ahead if draw() * (ahead + back) < back else -back) * u
+        x[x < EPSILON], x[x > 1 - EPSILON] = 0.0, 1.0
+        now[held] = x
+        held = held[(x > 0) & (x < 1)]
+    p[:] = now.tolist()
 
 
 def land(p: list[float], size: list[int], draw) -> None:
@@ -106,15 +123,45 @@ def land(p: list[float], size: list[int], draw) -> None:
         p[i] = float(draw() < p[i])
 
 
-def settle(last: bool, level: int, seed: int):
+def repair(p: list[float], was: list[float], size: list[int], near: float) -> None:
+    """Where a few documents could not keep the balance (one too large for the rest to make up
+    for), exchange a taken and an untaken one, or flip one, as brings the sizes nearest to
+    what they were to be, until they miss by no more than ``near``."""
+    now, sizes = np.array(p), np.array(size, float)
+    free = (np.array(was) > 0) & (np.array(was) < 1)
+    miss = float((np.array(was) - now) @ sizes)
+    while abs(miss) > near:
+        on, off = (np.flatnonzero(free & (now == x)) for x in (1.0, 0.0))
+        off = off[np.argsort(sizes[off], kind="stable")]
+        best = (abs(miss), -1, -1)
+        for i in [-1, *on.tolist()]:  # what is put in should be as large as miss and what goes
+            want = miss + (sizes[i] if i >= 0 else 0.0)
+            at = int(np.searchsorted(sizes[off], want))
+            for j in [-1, *off[max(at - 1, 0):at + 1].tolist()]:
+                gain = (sizes[j] if j >= 0 else 0.0) - (sizes[i] if i >= 0 else 0.0)
+                best = min(best, (abs(miss - gain), i, j))
+        left, i, j = best
+        if left > 0.9 * abs(miss):
+            break
+        for k, x in ((i, 0.0), (j, 1.0)):
+            if k >= 0:
+                miss += (now[k] - x) * sizes[k]
+                now[k] = x
+    p[:] = now.tolist()
+
+
+def settle(last: bool, level: int, seed: int, group_rows: int):
     def run(key, pdf):
-        # Large documents first, so that what is left to land is small.
         pdf = pdf.sort_values(["size", "order", "row"], ascending=[False, True, True]).reset_index(drop=True)
         draw = random.Random(f"{seed}/{level}/{key[0]}/{key[1]}").random
-        p, size = pdf["p"].tolist(), pdf["size"].tolist()
+        was, size = pdf["p"].tolist(), pdf["size"].tolist()
+        p = list(was)
         flight(p, size, draw)
-        if last:
+        whole = level == 0 and len(pdf) and int(pdf["n"].iloc[0]) <= group_rows  # a source that is one group
+        if last or whole:
             land(p, size, draw)
+        if whole:
+            repair(p, was, size, max(0.005 * sum(x * s for x, s in zip(was, size, strict=True)), float(np.median(size)) / 2))
         return pdf.assign(p=p)
     return run
 
@@ -127,7 +174,7 @@ def extras(rows: DataFrame, seed: int, group_rows: int = GROUP_ROWS, fan_in: int
     open_ = rows.where((F.col("p") > 0) & (F.col("p") < 1))
     while True:
         last = groups == 1
-        done = stored(open_.groupBy("place", "bucket").applyInPandas(settle(last, level, seed), open_.schema), "flight")
+        done = stored(open_.groupBy("place", "bucket").applyInPandas(settle(last, level, seed, group_rows), open_.schema), "flight")
         out.append(done.where(F.col("p").isin(0.0, 1.0)))
         if last:
             break
