@@ -53,16 +53,20 @@ def serialised(path: str, texts: pa.Array | list[str | None], end: int, width: i
 
 
 def sample(docs: DataFrame, path: str, end: int, width: int) -> list[bytes]:
-    """Serialised ids of about SAMPLE_DOCS documents that a hash picks, for the dictionary only."""
+    """Serialised ids of about SAMPLE_DOCS rows that a hash of doc_id and text picks, for the
+    dictionary only; encoded where they lie. Repeated rows are picked together, the lowest
+    hashes first and 4 * SAMPLE_DOCS at most."""
     n = docs.count()
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (SAMPLE_DOCS << 20) // max(n, 1) + 1)
+    keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("key"))
+    picked = keyed.where(F.pmod("key", F.lit(1 << 20)) < (SAMPLE_DOCS << 20) // max(n, 1) + 1)
 
     def run(batches):
         for b in batches:
-            for text in b.column(1).to_pylist():
-                x = next(serialised(path, [text and text[:SAMPLE_BYTES]], end, width))
-                yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_BYTES]], pa.binary())], ["ids"])
-    return sorted(bytes(r["ids"]) for r in picked.limit(4 * SAMPLE_DOCS).mapInArrow(run, "ids binary").collect())
+            texts = [t and t[:SAMPLE_BYTES] for t in b.column(0).to_pylist()]
+            ids = [x[:SAMPLE_BYTES] for x in serialised(path, texts, end, width)]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(ids, pa.binary())], ["key", "ids"])
+    coded = picked.mapInArrow(run, "key long, ids binary").orderBy("key", "ids").limit(4 * SAMPLE_DOCS)
+    return sorted(bytes(r["ids"]) for r in coded.select("ids").collect())
 
 
 def train(samples: list[bytes]) -> bytes:
