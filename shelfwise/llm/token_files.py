@@ -184,6 +184,34 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
+def read_some(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
+    """(doc_id, ids) of just these documents: the offset index finds each one's frame in its
+    block, and nothing else is cut out or decompressed. A repeated doc_id gives all its rows,
+    one that is not in the files none."""
+    named, dictionary = spark.read.parquet(f"{folder}/dictionary").first()
+    if hashlib.sha256(dictionary).hexdigest() != named:
+        raise ValueError(f"{folder}: the dictionary does not have its hash")
+    wanted = F.array(*(F.lit(int(d)) for d in doc_ids)).cast("array<long>")
+    blocks_ = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").where(F.arrays_overlap("doc_ids", wanted))
+    end = F.concat(F.slice("offsets", 2, F.greatest(F.size("offsets") - 1, F.lit(0))), F.array(F.length("frames").cast("long")))
+    places = F.filter(F.arrays_zip(F.col("doc_ids").alias("doc_id"), F.col("offsets").alias("at"), end.alias("end")),
+                      lambda x: F.array_contains(wanted, x["doc_id"]))
+    found = blocks_.select("dictionary", "width", "frames", F.explode(places).alias("place")).select(
+        "dictionary", "width", F.col("place.doc_id").alias("doc_id"),
+        F.substring("frames", F.col("place.at").cast("int") + 1, (F.col("place.end") - F.col("place.at")).cast("int")).alias("frame"))
+
+    def run(batches):
+        unpack = decompressor(bytes(dictionary))
+        for b in batches:
+            ids = []
+            for row in b.to_pylist():
+                if row["dictionary"] != named:
+                    raise ValueError(f"{folder}: a block names another dictionary")
+                ids.append(np.frombuffer(unpack.decompress(row["frame"]), f"<u{row['width']}").astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(2), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+    return found.mapInArrow(run, "doc_id long, ids binary")
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Write ``docs``, read the files back: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
