@@ -35,7 +35,7 @@ def stays_letter(c: str) -> bool:
 
 
 class SplitEncoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned bytes of ``kind``.
+    """``encode(texts)`` gives each text's ids as little-endian unsigned numbers of ``kind``.
 
     Stretches met lately are held in two generations of at most ``most / 2``: when the young
     one is full it becomes the old one, and stretches met again move back. Longer ones than
@@ -124,10 +124,11 @@ class SplitEncoder:
         young.update((w, young[w[:-1]] + stops[w[-1]]) for w in stopped)
         young.update((w, b"".join([young[p] for p in pieces])) for w, pieces in mixed)
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
+    def looked_up(self, texts: pa.Array) -> tuple[pa.Array, list[bytes], pa.Array, np.ndarray]:
+        """Which texts are sent whole; ids of the batch's distinct stretches; the texts' stretches
+        by number, and where each text's begin and end among them."""
         if len(self.young) > self.most:
             self.young, self.old = {"": b""}, self.young
-        texts = texts.fill_null("")
         odd = pc.match_substring_regex(texts, WHOLE)
         cut = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
         flat = cut.flatten().dictionary_encode()
@@ -140,10 +141,30 @@ class SplitEncoder:
             for w in new:
                 if len(w) > self.longest:
                     del young[w]
-        places, bounds = flat.indices.to_numpy().tolist(), cut.offsets.to_numpy()
-        bounds = (bounds - bounds[0]).tolist()
-        coded_at = coded.__getitem__
-        out = [b"".join(map(coded_at, places[a:b])) for a, b in itertools.pairwise(bounds)]
+        bounds = cut.offsets.to_numpy()
+        return odd, coded, flat.indices, bounds - bounds[0]
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> pa.Array:
+        """Each text's ids, and ``end`` behind them, as a binary column."""
+        texts = texts.fill_null("")
+        odd, coded, places, bounds = self.looked_up(texts)
+        size = self.kind.itemsize
+        stretches = pa.array(coded, pa.binary()).take(places)
+        ids = np.frombuffer(stretches.buffers()[2] or b"", self.kind)
+        at = np.frombuffer(stretches.buffers()[1], np.int32, len(stretches) + 1)[bounds].astype(np.int64) // size
+        ids = ids[:at[-1]]
+        if end is not None:
+            last = at[1:] + np.arange(len(texts))
+            out, own = np.empty(len(ids) + len(texts), self.kind), np.ones(len(ids) + len(texts), bool)
+            own[last] = False
+            out[own], out[last] = ids, end
+            ids, at = out, at + np.arange(len(texts) + 1)
+        column = pa.Array.from_buffers(pa.binary(), len(texts), [
+            None, pa.py_buffer((at * size).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))])
+        if not pc.any(odd).as_py():
+            return column
+        tail = b"" if end is None else np.array([end], self.kind).tobytes()
+        rows = column.to_pylist()
         for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
-            out[i] = self.whole([texts[i].as_py()])[0]
-        return out
+            rows[i] = self.whole([texts[i].as_py()])[0] + tail
+        return pa.array(rows, pa.binary())

@@ -51,10 +51,18 @@ def test_the_encoder_gives_the_librarys_ids(library):
     for most in (800_000, 200):
         encoder = SplitEncoder(PATH, most=most, longest=8)
         for _ in range(2):  # the second time from memory
-            got = [x for i in range(0, len(texts), 100) for x in encoder.encode(pa.array(texts[i:i + 100], pa.string()))]
+            got = [x for i in range(0, len(texts), 100) for x in encoder.encode(pa.array(texts[i:i + 100], pa.string())).to_pylist()]
             assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
 
 
+def test_the_end_id_follows_each_text(library):
+    encoder = SplitEncoder(PATH)
+    for texts in (ODD, some_texts(5), [None], ["", ""]):
+        got = encoder.encode(pa.array(["skipped", *texts], pa.string())[1:], end=2).to_pylist()
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == ids_of(library, texts)
+    assert len(encoder.encode(pa.array([], pa.string()), end=2)) == 0
+
+
 def test_arrow_and_the_tokenizer_agree_on_white_space(library):
     """Whatever Arrow splits at, the tokenizer drops, but for the characters sent to it whole."""
     other = library.encode("a b", add_special_tokens=False).ids
