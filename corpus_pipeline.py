@@ -2,7 +2,8 @@
 
 Every stage works on all that its predecessor kept, and all but the last return the
 columns of documents. SQL expresses neither the network nor the language model, so there
-is no ORACLE_SQL; tests hold run() against a brute-force version.
+is no ORACLE_SQL; tests hold run() against its stages and the stages' operators against plain
+versions.
 """
 
 from __future__ import annotations
