@@ -108,22 +108,24 @@ class WordEncoder:
             coded = list(map(young.get, words))
             for w in long:
                 young.pop(w, None)
-        places, bounds = flat.indices.to_numpy().tolist(), cut.offsets.to_numpy()
-        bounds = (bounds - bounds[0]).tolist()
-        heads = [words[places[a]] for a in bounds[:-1]]
-        coded_at, out = coded.__getitem__, []
-        for i, (a, b, head, ids) in enumerate(zip(bounds[:-1], bounds[1:], heads, self.whole(heads), strict=True)):
-            try:
-                # The head of a text with words after it must end like a word, too.
-                if b - a > 1 and (not head or head[-1].isspace()):
-                    raise TypeError
-                out.append(ids + b"".join(map(coded_at, places[a + 1:b])))
-            except TypeError:  # a word that may not be cut off
-                out.append(self.whole([texts[i].as_py()])[0])
+        places, bounds = flat.indices.to_numpy(), cut.offsets.to_numpy()
+        bounds = (bounds - bounds[0]).astype(np.int64)
+        heads = [words[i] for i in places[bounds[:-1]].tolist()]
+        # Words that may not be cut off send their text to the library whole, and so does a head
+        # that does not end like a word, where words follow it.
+        whole = np.concatenate([[0], np.cumsum(np.array([x is False for x in coded], bool)[places])])
+        whole = whole[bounds[1:]] > whole[np.minimum(bounds[:-1] + 1, bounds[1:])]
+        whole |= (np.diff(bounds) > 1) & np.array([not h or h[-1].isspace() for h in heads], bool)
+        ids = pa.array([x or b"" for x in coded], pa.binary()).take(flat.indices)
+        data, at = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1)
+        spans = zip(at[np.minimum(bounds[:-1] + 1, bounds[1:])].tolist(), at[bounds[1:]].tolist(), strict=True)
+        out = [head + bytes(data[i:j]) for head, (i, j) in zip(self.whole(heads), spans, strict=True)]
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = self.whole([texts[i].as_py()])[0]
         return out
 
 
-def gathered(batches, most: int = 20_000_000):
+def gathered(batches, most: int = 12_000_000):
     """The batches' rows again, in tables of about ``most`` bytes of text (their second column),
     or of one row with more."""
     held, size = [], 0
