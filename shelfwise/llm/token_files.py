@@ -29,6 +29,8 @@ from shelfwise.llm.tokens import WordEncoder, gathered
 END = 2
 #: The dictionary is trained on about this many documents, of each at most so many bytes of ids.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 64 * 1024
+#: Bytes of text that a task encodes at once: their ids and frames are held beside them.
+GATHERED_BYTES = 3_000_000
 #: Bytes of frames after which a block ends.
 BLOCK_BYTES = 1 << 20
 
@@ -94,7 +96,7 @@ def decompressor(dictionary: bytes):
 def frames(path: str, dictionary: bytes, bounds: list[int], end: int, width: int):
     def run(batches):
         pack = compressor(dictionary)
-        for t in gathered(batches):
+        for t in gathered(batches, GATHERED_BYTES):
             ids, raw = t.column(0).to_pylist(), list(serialised(path, t.column(1).combine_chunks(), end, width))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(x) // width for x in raw], pa.int64()),

@@ -141,6 +141,7 @@ def gathered(batches, most: int = 12_000_000):
             if end < b.num_rows:
                 yield pa.Table.from_batches(held).combine_chunks()
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
             start = end
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
