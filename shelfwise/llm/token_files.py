@@ -30,7 +30,7 @@ END = 2
 #: The dictionary is trained on about this many documents, of each at most so many bytes of ids.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 64 * 1024
 #: Bytes of text that a task encodes at once: their ids and frames are held beside them.
-GATHERED_BYTES = 10_000_000
+GATHERED_BYTES = 16_000_000
 #: Bytes of frames after which a block ends.
 BLOCK_BYTES = 1 << 20
 
