@@ -19,7 +19,7 @@ Conventions (decisions the dashboard text leaves open):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators.ranking import first_or_all
@@ -100,34 +100,47 @@ def _benchmark_rows(inventory: DataFrame, date=None, disapproved_only: bool = Fa
     )
 
 
-def _class_counts(per_pair: DataFrame, keys: list[str]) -> DataFrame:
-    """Level 2 of the distinct count: one input row, with one class, per (keys, pair)."""
-    counts = {CHEAPER: "cheaper_products", MORE_EXPENSIVE: "more_expensive_products",
-              SIMILAR: "similar_products"}
+PAIR = ["merchant_id", "product_id", "targeted_country"]
+CLASSES = {CHEAPER: "cheaper_products", SIMILAR: "similar_products", MORE_EXPENSIVE: "more_expensive_products"}
+
+
+def _counted_rows(inventory: DataFrame, date=None) -> DataFrame:
+    """Benchmark rows with their class as a number (the dearest is greatest, none is NULL) and
+    the number of rows of their pair on that date, counted on the view's own partitioning."""
+    position = F.col("price_position")
+    number = F.coalesce(*[F.when(position == c, F.lit(i)) for i, c in enumerate(CLASSES)])
+    return (_benchmark_rows(inventory, date).withColumn("class", number)
+            .withColumn("rows_of_pair", F.count(F.lit(1)).over(Window.partitionBy("date", *PAIR))))
+
+
+def _class_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct pairs per ``keys`` (the date among them) and the class of each one's dearest row.
+
+    Nearly every pair has one row on its date, which is counted where it stands. Only pairs
+    of several rows keep a group of their own, so what is shuffled and held does not grow with
+    the other pairs times the keys that each row is expanded to.
+    """
+    alone = F.col("rows_of_pair") == 1
+    first = rows.groupBy(*keys, F.when(~alone, F.struct(*PAIR)).alias("pair")).agg(
+        F.count(F.when(alone, 1)).alias("alone"),
+        *[F.count(F.when(alone & (F.col("class") == i), 1)).alias(f"alone_{i}") for i in range(len(CLASSES))],
+        F.max(F.when(~alone, F.col("class"))).alias("dearest"))
     total = F.col("products_with_benchmark")
-    return (per_pair.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("products_with_benchmark"),
-                 *[F.count(F.when(F.col("price_position") == c, 1)).alias(n) for c, n in counts.items()])
+    return (first.groupBy(*keys)
+            .agg((F.sum("alone") + F.count("pair")).alias("products_with_benchmark"),
+                 *[(F.sum(f"alone_{i}") + F.count(F.when(F.col("dearest") == i, 1))).alias(n)
+                   for i, n in enumerate(CLASSES.values())])
+            .select(*keys, "products_with_benchmark", "cheaper_products", "more_expensive_products", "similar_products")
             .withColumn("pct_cheaper", F.col("cheaper_products") / total)
             .withColumn("pct_more_expensive", F.col("more_expensive_products") / total)
             .withColumn("pct_similar", F.col("similar_products") / total))
 
 
-def _per_pair(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Level 1: one row per (keys, merchant, product, country) with the class of its dearest row."""
-    pos = F.col("price_position")
-    order = F.when(pos == MORE_EXPENSIVE, 3).when(pos == SIMILAR, 2).when(pos == CHEAPER, 1)
-    return (rows.groupBy(*keys, "merchant_id", "product_id", "targeted_country")
-            .agg(F.max_by(pos, order).alias("price_position")))
-
-
 def price_benchmark_summary(inventory: DataFrame, date=None) -> DataFrame:
     """MA3, MA4 per date and disapproval flag: products with a benchmark and the share cheaper /
     more expensive / similar of them. A product without a price (or with a benchmark of zero)
     is in the denominator and in no class; the shares add up to 1 where there is none."""
-    rows = _benchmark_rows(inventory, date)
-    keys = ["date", "is_disapproved"]
-    return _class_counts(_per_pair(rows, keys), keys)
+    return _class_counts(_counted_rows(inventory, date), ["date", "is_disapproved"])
 
 
 BREAKDOWN_DIMENSIONS = ("brand", *CUSTOM_LABELS, "category")
@@ -136,13 +149,11 @@ BREAKDOWN_DIMENSIONS = ("brand", *CUSTOM_LABELS, "category")
 def benchmark_breakdown(inventory: DataFrame, date=None) -> DataFrame:
     """MA7: MA3 + MA4 per brand, per each of the five custom labels and per category, in one pass
     (each product row is expanded once per dimension, like GROUPING SETS)."""
-    rows = _benchmark_rows(inventory, date)
+    rows = _counted_rows(inventory, date)
     dims = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"))
                      for d in BREAKDOWN_DIMENSIONS])
-    expanded = rows.select("date", "merchant_id", "product_id", "targeted_country", "price_position",
-                           F.inline(dims))
-    keys = ["date", "dimension", "value"]
-    return _class_counts(_per_pair(expanded, keys), keys)
+    expanded = rows.select("date", *PAIR, "class", "rows_of_pair", F.inline(dims))
+    return _class_counts(expanded, ["date", "dimension", "value"])
 
 
 SCOPES = ("all", "disapproved")
@@ -152,15 +163,13 @@ def benchmark_drill(inventory: DataFrame, date=None) -> DataFrame:
     """MA5 with MA3 + MA4 at every drill level: per scope (all products, disapproved ones only)
     the whole selection (dimension ``total``, no value) and each brand, custom label and
     category. One expansion of each row serves all levels and both scopes."""
-    rows = _benchmark_rows(inventory, date)
+    rows = _counted_rows(inventory, date)
     levels = [F.struct(F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value")),
               *[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in BREAKDOWN_DIMENSIONS]]
     scopes = F.when(F.col("is_disapproved"), F.array(*map(F.lit, SCOPES))).otherwise(F.array(F.lit(SCOPES[0])))
     expanded = (rows.withColumn("scope", F.explode(scopes))
-                .select("date", "scope", "merchant_id", "product_id", "targeted_country", "price_position",
-                        F.inline(F.array(*levels))))
-    keys = ["date", "scope", "dimension", "value"]
-    return _class_counts(_per_pair(expanded, keys), keys)
+                .select("date", "scope", *PAIR, "class", "rows_of_pair", F.inline(F.array(*levels))))
+    return _class_counts(expanded, ["date", "scope", "dimension", "value"])
 
 
 def focus_brands(inventory: DataFrame, date=None, k: int | None = None, ranked: bool = False) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from conftest import D, benchmark, destination, insight, inputs, product, rows, stat
+import re
+
+from conftest import D, benchmark, destination, insight, inputs, plan_text, product, rows, stat
 
 from shelfwise.plans import best_sellers, inventory, popularity, pricing
 
@@ -172,3 +174,39 @@ def test_unmapped_clusters_keep_null_products(spark):
         mapping=[{"partition_date": SNAP, "entity_id": "e1", "product_id": "p1"},
                  {"partition_date": SNAP, "entity_id": "e2", "product_id": None}]))
     assert rows(view, "entity_id", "product_id") == [("e1", "p1"), ("e2", None), ("e3", None)]
+
+
+def test_marts_over_the_rows_before_the_distinct(spark):
+    """The registered marts read the view before its DISTINCT: repeated rows change nothing, no
+    whole row is kept for it, and nearly every pair is counted without a group of its own."""
+    day = D(2024, 1, 10)
+    products = [product(pid=f"p{k}", offer=f"Sku{k}", price=90.0 + k, brand=f"B{k % 2}") for k in range(20)]
+    products += [product(pid="p3", offer="Sku3", price=150.0, brand="B9"), products[5]]
+    i = inputs(spark, products=products, pc=[benchmark(day, f"p{k}", "US", 100_000_000) for k in range(20)],
+               pi=[insight(day, f"p{k}", 95_000_000) for k in range(20)],
+               stats=[stat(D(2024, 1, 9), item=f"SKU{k}", channel=c, clicks=k) for k in range(9) for c in ("ONLINE", "LOCAL")])
+    view, raw = inventory.inventory_view(i), inventory.inventory_rows(i)
+    assert raw.count() > view.count()
+    for mart in (pricing.price_benchmark, pricing.price_benchmark_summary, pricing.benchmark_breakdown,
+                 pricing.benchmark_drill, pricing.focus_brands, pricing.reactivation_list, pricing.price_suggestion):
+        assert sorted(map(str, mart(raw).collect())) == sorted(map(str, mart(view).collect()))
+    assert pricing.price_benchmark_summary(raw).first()["products_with_benchmark"] == 20
+    brands = {r["value"]: r["products_with_benchmark"] for r in pricing.benchmark_breakdown(raw).where("dimension = 'brand'").collect()}
+    assert brands == {"B0": 10, "B1": 10, "B9": 1}
+    text = plan_text(pricing.benchmark_breakdown(raw))
+    moved = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]", text)
+    assert moved and not any(c in columns for columns in moved for c in ("image_link", "gtin", "clicks_7days"))
+    assert "SortAggregate" not in text
+
+
+def test_best_seller_marts_over_the_rows_before_the_distinct(spark):
+    day = D(2024, 1, 10)
+    i = inputs(spark, products=[product(pid="p1", offer="S1"), product(pid="p2", offer="S2")],
+               clusters=[_cluster("e1"), _cluster("e1"), _cluster("e2", demand="LOW"), _cluster("e3", pstatus="OUT_OF_STOCK")],
+               mapping=[{"partition_date": day, "entity_id": e, "product_id": p} for e, p in (("e1", "p1"), ("e1", "p2"), ("e3", "p2"))])
+    view, raw = best_sellers.best_sellers_view(i), best_sellers.best_sellers_rows(i)
+    assert raw.count() > view.count()
+    for mart in (popularity.best_sellers_overview, popularity.best_sellers_details, popularity.restock_list, popularity.cluster_gtins):
+        assert sorted(map(str, mart(raw).collect())) == sorted(map(str, mart(view).collect()))
+    moved = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]", plan_text(popularity.cluster_gtins(raw)))
+    assert moved and not any(c in columns for columns in moved for c in ("previous_rank", "current_price"))
