@@ -29,17 +29,22 @@ def has_shopping_destination(destinations: str = "destinations") -> Column:
 
 def targeted_countries(destination: Column) -> Column:
     """Distinct union of the three country lists (NULL lists count as empty)."""
-    return F.array_distinct(F.concat(
+    return F.array_distinct(_listed(destination))
+
+
+def _listed(destination: Column) -> Column:
+    return F.concat(
         array_or_empty(destination["approved_countries"]),
         array_or_empty(destination["pending_countries"]),
-        array_or_empty(destination["disapproved_countries"])))
+        array_or_empty(destination["disapproved_countries"]))
 
 
 def country_statuses(destinations: Column) -> Column:
     """All (targeted_country, is_disapproved) of a product's Shopping destinations, as one array."""
     def of(destination):
-        countries = targeted_countries(destination)
-        listed = F.when(F.size(countries) > 0, countries).otherwise(F.array(F.lit(None).cast("string")))
+        # Lambdas are interpreted, nothing in them is shared: the union is made distinct once.
+        listed = (F.when(F.size(_listed(destination)) > 0, targeted_countries(destination))
+                  .otherwise(F.array(F.lit(None).cast("string"))))
         return F.transform(listed, lambda c: F.struct(
             c.alias("targeted_country"),
             F.coalesce(F.array_contains(destination["disapproved_countries"], c), F.lit(False))

@@ -59,22 +59,18 @@ def product_variants(products: DataFrame) -> DataFrame:
     """(product key, offer variant) x status row, each once: every variant of a key meets the
     statuses of all its rows.
 
-    Nearly all keys stand on one row, and what that row says is all there is. Only where the
-    window over a key counts several rows are their statuses gathered (an aggregate over
-    NULLs holds nothing) and does each variant speak once. The window reuses the products'
-    partitioning and sorts just the narrow columns; nothing is grouped.
+    One window over a key gathers the statuses of its rows, and each variant speaks once. It
+    reuses the products' partitioning and sorts just the narrow columns; nothing is grouped,
+    and a task holds the arrays of one key at a time.
     """
     key = Window.partitionBy(*PRODUCT_KEY).orderBy(*VARIANT)
     whole = key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    several = F.col("rows_of_key") > 1
     rows = (products.dropna(subset=PRODUCT_KEY)
-            .select(*PRODUCT_KEY, *VARIANT, F.array_distinct(status.country_statuses(F.col("destinations"))).alias("statuses"))
-            .withColumn("rows_of_key", F.count(F.lit(1)).over(whole))
-            .withColumn("before", F.when(several, F.lag(F.struct(*VARIANT)).over(key)))
-            .withColumn("gathered", F.collect_list(F.when(several, F.col("statuses"))).over(whole))
+            .select(*PRODUCT_KEY, *VARIANT, status.country_statuses(F.col("destinations")).alias("statuses"))
+            .withColumn("before", F.lag(F.struct(*VARIANT)).over(key))
+            .withColumn("gathered", F.collect_list("statuses").over(whole))
             .where(F.col("before").isNull() | ~F.col("before").eqNullSafe(F.struct(*VARIANT))))
-    statuses = F.when(several, F.array_distinct(F.flatten("gathered"))).otherwise(F.col("statuses"))
-    return rows.select(*PRODUCT_KEY, *VARIANT, F.inline(statuses))
+    return rows.select(*PRODUCT_KEY, *VARIANT, F.inline(F.array_distinct(F.flatten("gathered"))))
 
 
 def status_with_performance(products: DataFrame, perf: DataFrame) -> DataFrame:

@@ -168,8 +168,8 @@ def _nation_names(spark: SparkSession, sf_dir: str, alias: str) -> DataFrame:
         F.col("n_nationkey").cast("bigint").alias(f"{alias}_key"), F.col("n_name").alias(alias))
 
 
-def _catalog_days(spark: SparkSession, sf_dir: str, step: int = 1) -> DataFrame:
-    """Part rows, each repeated for the snapshot days (every ``step``-th).
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part rows, spread for the expansion into snapshot days.
 
     The part table is small next to the snapshot it expands into (one row per
     day), and may sit in a single file; its rows are spread over the shuffle
@@ -179,18 +179,28 @@ def _catalog_days(spark: SparkSession, sf_dir: str, step: int = 1) -> DataFrame:
     """
     part = _read(spark, sf_dir, "part")
     partitions = max(spark.sparkContext.defaultParallelism, part.rdd.getNumPartitions())
-    part = part.repartition(partitions, "p_partkey")
+    return part.repartition(partitions, "p_partkey")
+
+
+def _on_days(rows: DataFrame, spark: SparkSession, sf_dir: str, step: int = 1) -> DataFrame:
+    """``rows``, each repeated for the snapshot days (every ``step``-th), with the day's number
+    ``d`` and its ``partition_date``. Values that do not depend on the day are best made in
+    ``rows``, once for all days."""
     days = F.explode(F.sequence(F.lit(0), _last_ad_day(spark, sf_dir), F.lit(step)))
-    return part.select("*", days.alias("d")).withColumn(
+    return rows.select("*", days.alias("d")).withColumn(
         "partition_date", F.date_add(_base(), _spread(F.col("d")) + F.lit(1)))
 
 
+def _catalog_days(spark: SparkSession, sf_dir: str, step: int = 1) -> DataFrame:
+    return _on_days(_catalog(spark, sf_dir), spark, sf_dir, step)
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
     region = _dimension(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("bigint").alias("lang_key"),
         F.lower("r_name").alias("content_language"))
-    base = (_catalog_days(spark, sf_dir)
+    base = (_catalog(spark, sf_dir)
             .withColumn("n1_key", p % 25).withColumn("n2_key", (p + 1) % 25)
             .withColumn("lang_key", (p + F.when(p % 7 == 0, 1).otherwise(0)) % 5)
             .join(_nation_names(spark, sf_dir, "n1"), "n1_key")
@@ -214,8 +224,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise(F.array(main_destination)))
     price = F.col("p_retailprice")
     ps = p.cast("string")
-    return base.select(
-        "partition_date",
+    rows = base.select(
         F.when(p % 11 == 0, F.lit(7)).cast("bigint").alias("aggregator_id"),
         (p % 2).cast("bigint").alias("merchant_id"),
         F.concat(F.lit("online:"), ps).alias("product_id"),
@@ -247,6 +256,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(None).cast("string").alias("label_4")).alias("custom_labels"),
         destinations.alias("destinations"),
     )
+    return _on_days(rows, spark, sf_dir).select("partition_date", *rows.columns)
 
 
 def price_competitiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,14 +264,13 @@ def price_competitiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
     for one product in four it is reported for the neighbour country instead
     (which matches only when that country is targeted too)."""
     p = F.col("p_partkey")
-    base = (_catalog_days(spark, sf_dir)
+    base = (_catalog(spark, sf_dir)
             .withColumn("n1_key", p % 25).withColumn("n2_key", (p + 1) % 25)
             .join(_nation_names(spark, sf_dir, "n1"), "n1_key")
             .join(_nation_names(spark, sf_dir, "n2"), "n2_key"))
     price = F.col("p_retailprice")
     factor = _case(p % 7, BENCHMARK_FACTORS)
-    return base.select(
-        "partition_date",
+    rows = base.select(
         F.when(p % 11 == 0, F.lit(7)).cast("bigint").alias("aggregator_id"),
         (p % 2).cast("bigint").alias("merchant_id"),
         F.concat(F.lit("online:"), p.cast("string")).alias("id"),
@@ -273,6 +282,7 @@ def price_competitiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_micros(price * factor).alias("amount_micros"),
                  F.lit(CURRENCY).alias("currency_code")).alias("benchmark_price"),
     )
+    return _on_days(rows, spark, sf_dir).select("partition_date", *rows.columns)
 
 
 def price_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,8 +294,7 @@ def price_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     def fraction(divisor: float) -> Column:
         return F.when(~none, (p % 10).cast("double") / F.lit(divisor))
 
-    return _catalog_days(spark, sf_dir).select(
-        "partition_date",
+    rows = _catalog(spark, sf_dir).select(
         F.when(p % 11 == 0, F.lit(7)).cast("bigint").alias("aggregator_id"),
         (p % 2).cast("bigint").alias("merchant_id"),
         F.concat(F.lit("online:"), p.cast("string")).alias("id"),
@@ -297,6 +306,7 @@ def price_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
         fraction(20.0).alias("predicted_clicks_change_fraction"),
         fraction(40.0).alias("predicted_conversions_change_fraction"),
     )
+    return _on_days(rows, spark, sf_dir).select("partition_date", *rows.columns)
 
 
 def best_sellers_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
