@@ -305,3 +305,24 @@ def test_marts_take_the_newest_day_by_default(spark, tmp_dir, config):
     assert rows(tables.read(spark, f"{marts}/price_benchmark"), "date") == [(_day(10),), (_day(39),)]
     jobs.build_marts(spark, config.output_root, None)
     assert tables.read(spark, f"{marts}/price_benchmark").select("date").distinct().count() == DAYS
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_dir):
+    """A write's shuffle files go when it ends, not when the driver collects garbage."""
+    import glob
+    import time
+
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def files():
+        return {f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*")}
+
+    seen, setting = files(), spark.conf.get(tables.DROP_SHUFFLES, None)
+    df = spark.range(1000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 3 as int)) AS date").repartition(4, "id")
+    tables.replace_days(df, f"{tmp_dir}/t", "date")
+    until = time.time() + 10
+    while (left := files() - seen) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(tables.DROP_SHUFFLES, None) == setting
+    assert tables.read(spark, f"{tmp_dir}/t").count() == 1000
