@@ -145,6 +145,8 @@ def gathered(batches, most: int = 12_000_000):
             start = end
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+        held = []
+    pa.default_memory_pool().release_unused()  # the worker may wait long for its next task
 
 
 def by_bytes(texts: list[str | None], most: int = 2_000_000):

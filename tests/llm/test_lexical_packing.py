@@ -253,3 +253,20 @@ def test_related_documents_meet(spark):
         windows.setdefault(r["sequence_id"], Counter())[r["doc_id"] % 3] += r["length"]
     pure = sum(max(w.values()) for w in windows.values()) / sum(sum(w.values()) for w in windows.values())
     assert pure > 0.85
+
+
+def test_gathering_gives_memory_back_at_its_end(monkeypatch):
+    """What Arrow holds for the last texts goes back too: workers are kept between tasks, and an
+    executor can have more of them than cores."""
+    from shelfwise.llm import tokens
+
+    given_back = []
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(True)
+
+    monkeypatch.setattr(tokens.pa, "default_memory_pool", Pool)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a red house", None])], ["doc_id", "text"])
+    (table,) = gathered([batch])
+    assert table.num_rows == 2 and given_back == [True]
