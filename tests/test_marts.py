@@ -195,7 +195,7 @@ def test_marts_over_the_rows_before_the_distinct(spark):
     assert brands == {"B0": 10, "B1": 10, "B9": 1}
     text = plan_text(pricing.benchmark_breakdown(raw))
     moved = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]", text)
-    assert moved and not any(c in columns for columns in moved for c in ("image_link", "gtin", "clicks_7days"))
+    assert moved and not any(c in columns for columns in moved for c in ("title", "gtin", "availability", "clicks_7days"))
     assert "SortAggregate" not in text
 
 
