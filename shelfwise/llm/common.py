@@ -107,8 +107,8 @@ class Marks:
 
     BITS = 25
 
-    def __init__(self, df: DataFrame, column: str) -> None:
-        place = F.pmod(F.xxhash64(column), F.lit(1 << self.BITS))
+    def __init__(self, df: DataFrame, column: str, place: Column | None = None) -> None:
+        place = self.place(column) if place is None else place
         rows = df.select(F.shiftright(place, 15).alias("page"), place.bitwiseAND(F.lit(32767)).alias("bit")).groupBy(
             "page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
         bits = np.zeros(1 << (self.BITS - 3), np.uint8)

@@ -463,3 +463,24 @@ def test_a_copy_links_by_its_other_texts_too(spark):
     got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.classes(df).collect()}
     assert got == {(1, 1), (5, 1), (9, 1), (12, 1), (7, 7), (8, 8)}
     assert sorted(r["doc_id"] for r in jaccard_join.one_of_each(df).collect()) == [1, 7, 8]
+
+
+def test_jaccard_join_ships_neither_regions_nor_sets_that_cannot_link(spark, monkeypatch):
+    def text(name, changed):
+        return " ".join(f"{name}x{i}" if i < changed else f"w{i}" for i in range(6000))
+
+    written = {}
+
+    def stored(df, name, put=jaccard_join.stored):
+        written.setdefault(name, []).append((df._jdf.queryExecution().optimizedPlan().toString(), out := put(df, name)))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = [(0, text("a", 0)), (1, text("b", 2400)), (2, text("c", 300)), (3, text("a", 0)), (4, text("d", 2400))]
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(0, 0), (1, 1), (2, 0), (3, 0), (4, 4)}
+    # Regions of rows without a copy reach their grouping without a join.
+    assert all("Join" not in plan for plan, _ in written["pivots"])
+    # Of long sets that share six tenths no sketch is too coarse: just the linked pair is compared by its sets.
+    opened = {(r["a"], r["b"]) for _, df in written["sketched"] for r in df.where("open").collect()}
+    assert opened == {(2, 0)}
