@@ -195,35 +195,44 @@ def sets_of(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     return of_texts(ids, texts, k, "doc_id long, items binary", lambda sets: [pa.array([h.tobytes() for h in sets], pa.binary())])
 
 
-def uncopied(rows: DataFrame, copies: DataFrame) -> DataFrame:
-    """(doc_id, regions) of ``rows`` but ``copies`` (doc_id, digest); only rows that a bitmap
-    of the copies does not rule out are shuffled."""
+def uncopied(rows: DataFrame, copies: DataFrame) -> tuple[DataFrame, Marks]:
+    """(doc_id, regions, stays, place) of ``rows``, and the bitmap of the ``copies`` (doc_id,
+    digest): what it does not rule out is no copy, nor is what ``stays``. Only rows that it
+    rules out are shuffled; copies among them are nowhere."""
     row = F.xxhash64("doc_id", "digest")
     marks = Marks(copies.select(row.alias("row")), "row")
 
-    def having(wanted: bool):
-        def run(batches):
-            for b in batches:
-                yield b.filter(pa.array(marks.have(b.column(3).to_numpy()) == wanted)).select(["doc_id", "digest", "regions"])
-        return run
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(marks.have(b.column(3).to_numpy()))).select(["doc_id", "digest", "regions"])
     placed = rows.select("doc_id", "digest", "regions", Marks.place(row).alias("place"))
     schema = "doc_id long, digest binary, regions array<long>"
-    others = stored(placed.mapInArrow(having(True), schema).join(copies, ["doc_id", "digest"], "left_anti"), "others")
-    return placed.mapInArrow(having(False), schema).unionByName(others).select("doc_id", "regions")
+    others = stored(placed.mapInArrow(run, schema).join(copies, ["doc_id", "digest"], "left_anti"), "others")
+    return placed.select("doc_id", "regions", F.lit(False).alias("stays"), "place").unionByName(
+        others.select("doc_id", "regions", F.lit(True).alias("stays"), F.lit(0).cast("long").alias("place"))), marks
 
 
-def colliding(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """(doc_id, key) of the regions of ``rows`` that are among ``keys`` (and few others)."""
+def staying(batches, marks: Marks):
+    """(doc_id, regions) of what ``uncopied`` gives, without what the bitmap rules out."""
+    for b in batches:
+        gone = marks.have(b.column(3).to_numpy()) & ~b.column(2).to_numpy(zero_copy_only=False)
+        yield b.filter(pa.array(~gone)).select(["doc_id", "regions"])
+
+
+def colliding(rows: DataFrame, copied: Marks, keys: DataFrame) -> DataFrame:
+    """(doc_id, key) of the regions of ``uncopied`` rows that are among ``keys`` (and few others).
+
+    Copies leave in the same Python worker: one more in each task would hold its memory on."""
     low = (1 << Marks.BITS) - 1  # keys are hashes: their low bits are places
     marks = Marks(keys, "key", F.col("key").bitwiseAND(F.lit(low)))
 
     def run(batches):
-        for b in batches:
+        for b in staying(batches, copied):
             key = b.column(1).flatten().to_numpy()
             mine = marks.have(key & low)
             owner = np.repeat(b.column(0).to_numpy(), b.column(1).value_lengths().to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(owner[mine], pa.int64()), pa.array(key[mine], pa.int64())], ["doc_id", "key"])
-    return rows.select("doc_id", "regions").mapInArrow(run, "doc_id long, key long")
+    return rows.mapInArrow(run, "doc_id long, key long")
 
 
 def shared(batches):
@@ -404,12 +413,13 @@ def joined(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, mo
     copies = stored(nodes.select("doc_id", "digest").join(equal, "digest").where("doc_id <> rep").select("doc_id", "digest", "rep").distinct(), "copies")
     links = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # A doc_id's other texts, of which no lower doc_id has a copy, are searched.
-    nodes = uncopied(nodes, copies)
+    nodes, copied = uncopied(nodes, copies)
     # A pivot for each region; regions of one set are done. Documents go to pivots only
     # for regions that a bitmap of the shared ones does not rule out.
-    pivots = stored(nodes.select("doc_id", F.explode("regions").alias("key")).groupBy("key").agg(
+    searched = nodes.mapInArrow(lambda batches: staying(batches, copied), "doc_id long, regions array<long>")
+    pivots = stored(searched.select("doc_id", F.explode("regions").alias("key")).groupBy("key").agg(
         F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "pivots")
-    members = stored(colliding(nodes, pivots).join(pivots, "key").where("doc_id <> pivot"), "members")
+    members = stored(colliding(nodes, copied, pivots).join(pivots, "key").where("doc_id <> pivot"), "members")
     sketches = sketches_of(members.select("doc_id").union(pivots.select("pivot")), texts, k)
     checked = compared(members.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct(), sketches, texts, k, num, den)
     links = links.unionByName(checked.where("linked").select("a", "b"))

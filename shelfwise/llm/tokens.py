@@ -9,6 +9,7 @@ start of a special token, are encoded whole.
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import json
 import os
@@ -19,6 +20,8 @@ import pyarrow.compute as pc
 
 #: The byte-level sign of a space.
 SPACE = "\u0120"
+#: New words that the library encodes as one text: it holds about 400 bytes for each meanwhile.
+AT_ONCE = 16_384
 
 
 class WordEncoder:
@@ -87,7 +90,9 @@ class WordEncoder:
         stems = list({w[:-1] for w in ended}.difference(fresh, young))
         fresh += [w for w in stems if w not in old]
         young.update((w, old[w]) for w in stems if w in old)
-        young.update(zip(fresh, self.coded(fresh), strict=True))
+        for i in range(0, len(fresh), AT_ONCE):
+            some = fresh[i:i + AT_ONCE]
+            young.update(zip(some, self.coded(some), strict=True))
         for w in ended:
             stem = young[w[:-1]]
             young[w] = stem and stem + self.tails[w[-1]]
@@ -125,6 +130,13 @@ class WordEncoder:
         return out
 
 
+def give_back() -> None:
+    """Memory that Arrow and (where it can) the C library hold free goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def gathered(batches, most: int = 12_000_000):
     """The batches' rows again, in tables of about ``most`` bytes of text (their second column),
     or of one row with more."""
@@ -141,12 +153,12 @@ def gathered(batches, most: int = 12_000_000):
             if end < b.num_rows:
                 yield pa.Table.from_batches(held).combine_chunks()
                 held, size = [], 0
-                pa.default_memory_pool().release_unused()
+                give_back()
             start = end
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
         held = []
-    pa.default_memory_pool().release_unused()  # the worker may wait long for its next task
+    give_back()  # the worker may wait long for its next task
 
 
 def by_bytes(texts: list[str | None], most: int = 2_000_000):

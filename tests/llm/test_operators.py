@@ -22,6 +22,7 @@ from shelfwise.llm import (
     quality,
     token_counts,
     token_files,
+    tokens,
     url_filter,
 )
 
@@ -484,3 +485,35 @@ def test_jaccard_join_ships_neither_regions_nor_sets_that_cannot_link(spark, mon
     # Of long sets that share six tenths no sketch is too coarse: just the linked pair is compared by its sets.
     opened = {(r["a"], r["b"]) for _, df in written["sketched"] for r in df.where("open").collect()}
     assert opened == {(2, 0)}
+
+
+def test_the_encoder_hands_new_words_to_the_library_in_groups(monkeypatch):
+    """The library holds much more than the ids of a text for as long as it encodes it."""
+    seen = []
+
+    def coded(self, words, put=tokens.WordEncoder.coded):
+        seen.append(len(words))
+        return put(self, words)
+
+    monkeypatch.setattr(tokens.WordEncoder, "coded", coded)
+    monkeypatch.setattr(tokens, "AT_ONCE", 50, raising=False)
+    encoder = tokens.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["start " + " ".join(f"wo{i}rd né{i} plain{'x' * (i % 7)}. house," for i in range(n)) for n in (0, 70, 130)]
+    assert encoder.encode(texts) == encoder.whole(texts)
+    assert max(seen) <= 50 and sum(seen) > 200
+
+
+def test_each_task_of_the_regions_has_one_python_worker(spark, monkeypatch):
+    """A second one would be kept with its memory by the executor."""
+    plans = {}
+
+    def stored(df, name, put=jaccard_join.stored):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return put(df, name)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    same, near = (" ".join(f"{x if i == 7 else 'w'}{i}" for i in range(60)) for x in "wx")
+    rows = [(1, same), (2, same), (2, near), (3, near)]
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
+    assert all(plans[name].count("MapInArrow") == 1 for name in ("pivots", "members"))
