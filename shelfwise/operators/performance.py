@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import resource_id
 from shelfwise.operators import dims
 from shelfwise.schemas import ROLLING_METRICS
+from shelfwise.session import dealt
 
 PERF_KEYS = ["merchant_id", "channel", "offer_id", "language_code", "target_country"]
 # Keys of the product-side join: merchant, lower-case offer, country,
@@ -63,12 +64,12 @@ def daily_performance(stats: DataFrame, geo_targets: DataFrame, languages: DataF
                  F.sum("metrics_conversions_value").alias("conversions_value")))
 
 
-def rolling_performance(daily: DataFrame) -> DataFrame:
+def rolling_performance(daily: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rolling sums over RANGE frames of 30 and 7 preceding days (same-day rows
     are peers, so rows of several transfer runs share one value)."""
     # One partitioning serves the window and, after it, the merge and the product join.
-    daily = daily.withColumn("offer_key", F.lower("offer_id")).repartition(
-        "merchant_id", "offer_key", "target_country", "language_code")
+    daily = dealt(daily.withColumn("offer_key", F.lower("offer_id")), partitions,
+                  "merchant_id", "offer_key", "target_country", "language_code")
     order = Window.partitionBy(*PERF_KEYS, "offer_key").orderBy(F.unix_date("data_date"))
     long_w = order.rangeBetween(-LONG_WINDOW_DAYS, 0)
     short_w = order.rangeBetween(-SHORT_WINDOW_DAYS, 0)

@@ -47,7 +47,7 @@ def price_insights_rows(pi: DataFrame) -> DataFrame:
 def rolling_for_join(inputs: RetailInputs) -> DataFrame:
     daily = performance.daily_performance(inputs.shopping_product_stats, inputs.geo_targets,
                                           inputs.language_codes)
-    return performance.performance_for_snapshot_join(performance.rolling_performance(daily))
+    return performance.performance_for_snapshot_join(performance.rolling_performance(daily, inputs.partitions))
 
 
 def inventory_view(inputs: RetailInputs, rolling: DataFrame | None = None) -> DataFrame:
@@ -62,7 +62,7 @@ def inventory_rows(inputs: RetailInputs, rolling: DataFrame | None = None) -> Da
     products = inputs.products.where(
         (F.col("channel") == "online") & status.has_shopping_destination())
     perf = rolling if rolling is not None else rolling_for_join(inputs)
-    keyed = product_joins.partitioned_products(products, bucketed=inputs.bucketed)
+    keyed = product_joins.partitioned_products(products, bucketed=inputs.bucketed, partitions=inputs.partitions)
     joined = (product_joins.join_status_and_performance(keyed, perf)
               .join(price_insights_rows(inputs.price_insights),
                     ["date", "merchant_id", "product_id"], "left")

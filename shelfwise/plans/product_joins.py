@@ -3,11 +3,13 @@ price tables: the join core shared by both views.
 
 Shuffle plan (the product rows are the widest and largest input):
 
-1. The product rows are hash partitioned once on (date, product). Every
-   later join key contains these two columns, so with
+1. The product rows are hash partitioned once on the product. Every later
+   join key contains that column, so with
    ``spark.sql.requireAllClusterKeysForCoPartition=false`` each join (and
    the views' final DISTINCT) reuses this partitioning; product ids are
-   unique per day, so the partitioning is not skewed.
+   unique per day, so a key has as many rows as there are days and the
+   partitioning is not skewed. Days that a task reads one after the other
+   stay side by side, and what did not change between them compresses.
 2. Offer variants and country statuses come from the same product rows in one
    pass (Spark prunes that branch to key, offer, language and destinations, a
    narrow shuffle on the same keys): the narrow side. So the products are read
@@ -33,25 +35,34 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import status
 from shelfwise.operators.performance import SNAPSHOT_JOIN_KEYS
+from shelfwise.session import dealt
 
 PRODUCT_KEY = ["date", "merchant_id", "product_id"]
-PRODUCT_PARTITIONING = ["date", "product_id"]
+PRODUCT_PARTITIONING = ["product_id"]
+# In this order a sort by them keeps the days of a product together.
+DAY_OF_PRODUCT = ["product_id", "merchant_id", "date"]
+ONLY = ["product_id", "date"]
 VARIANT = ["offer_key", "content_language"]
 
 
-def partitioned_products(products: DataFrame, only: DataFrame | None = None, bucketed: bool = False) -> DataFrame:
-    """Product rows keyed for the joins, hash partitioned on (date, product), or left as they
+def partitioned_products(products: DataFrame, only: DataFrame | None = None, bucketed: bool = False,
+                         partitions: int | None = None) -> DataFrame:
+    """Product rows keyed for the joins, hash partitioned on the product, or left as they
     lie where the table is bucketed by product: the joins then use the buckets.
 
-    ``only`` (columns ``date, product_id``) keeps just the products it names
-    (a semi join on the same partitioning), before any other join.
+    ``only`` (columns ``date, product_id``) keeps just the products it names (each named
+    once, joined on the same partitioning), before any other join.
     """
     keyed = (products.withColumnRenamed("partition_date", "date")
              .withColumn("offer_key", F.lower("offer_id")))
     if not bucketed:
-        keyed = keyed.repartition(*PRODUCT_PARTITIONING)
+        keyed = dealt(keyed, partitions, *PRODUCT_PARTITIONING)
     if only is not None:
-        keyed = keyed.join(only.select(*PRODUCT_PARTITIONING), PRODUCT_PARTITIONING, "left_semi")
+        # Not as a semi join: Spark would move that below the repartition and shuffle all
+        # products for it, on other keys.
+        only = only.select(*ONLY)
+        only = only.distinct() if bucketed else dealt(only, partitions, *PRODUCT_PARTITIONING).distinct()
+        keyed = keyed.join(only, ONLY).select(*keyed.columns)
     return keyed
 
 
@@ -63,7 +74,7 @@ def product_variants(products: DataFrame) -> DataFrame:
     reuses the products' partitioning and sorts just the narrow columns; nothing is grouped,
     and a task holds the arrays of one key at a time.
     """
-    key = Window.partitionBy(*PRODUCT_KEY).orderBy(*VARIANT)
+    key = Window.partitionBy(*DAY_OF_PRODUCT).orderBy(*VARIANT)
     whole = key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = (products.dropna(subset=PRODUCT_KEY)
             .select(*PRODUCT_KEY, *VARIANT, status.country_statuses(F.col("destinations")).alias("statuses"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: adaptive execution (coalescing, skew
 # splitting, runtime broadcast), UTC day boundaries, ANSI semantics.
@@ -20,8 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     # After a shuffle, join by hash instead of sorting the wide rows when
-    # every build-side partition is measured below this size.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
+    # every build-side partition is measured below this size. The measure is of
+    # compressed bytes, which can be a tenth of the table that a join then holds
+    # and cannot spill; a task holds up to three.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(16 * 1024 * 1024),
     # Let a join on (product key + country) reuse a partitioning on the
     # product key instead of re-shuffling the wide side.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
@@ -43,6 +45,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Rows of the wide tables that a task makes or gathers: with the joins' tables and both maps
+# of a DISTINCT, some 400 MB. Bytes of input files (compressed) that hold about as many.
+ROWS_PER_TASK = 100_000
+FILE_BYTES_PER_TASK = 6 * 1024 * 1024
+
+
+def partitions_for(spark: SparkSession, tasks: int) -> int | None:
+    """How many partitions a shuffle whose rows need ``tasks`` tasks is dealt into, or None where
+    the cores are enough: adaptive execution then merges partitions. It goes by compressed bytes,
+    which say little about the memory that the rows of a task take."""
+    if tasks <= spark.sparkContext.defaultParallelism:
+        return None
+    return max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt(df: DataFrame, partitions: int | None, *columns: str) -> DataFrame:
+    """``df`` hash partitioned on ``columns``, with a count of partitions or as the session deals."""
+    return df.repartition(partitions, *columns) if partitions else df.repartition(*columns)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

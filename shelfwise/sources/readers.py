@@ -225,6 +225,8 @@ class RetailInputs:
     language_codes: DataFrame
     # products and both price tables are bucketed by product id (:func:`read_bucketed`)
     bucketed: bool = False
+    # into how many partitions product rows are dealt (None: as the session deals)
+    partitions: int | None = None
 
 
 def read_inputs(spark: SparkSession, paths: InputPaths, start: DateLike = None,

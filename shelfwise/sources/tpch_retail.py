@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schemas
+from shelfwise.session import ROWS_PER_TASK, partitions_for
 from shelfwise.sources.readers import RetailInputs, read_table
 
 # Fixed values of the derivation (they must agree with the oracle SQL).
@@ -172,16 +173,35 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part rows, spread for the expansion into snapshot days.
 
     The part table is small next to the snapshot it expands into (one row per
-    day), and may sit in a single file; its rows are spread over the shuffle
-    partitions first so the expansion runs on all cores, not in one task. The
-    count is explicit (adaptive coalescing would merge the small input back):
-    the cluster's parallelism, or the input's own split count if larger.
+    day), and may sit in a single file; its rows are spread first, so that the
+    expansion runs on all cores and a task makes no more rows than it can hold
+    while it deals them out. The count is explicit (adaptive coalescing would
+    merge the small input back): the cluster's parallelism, the input's own split
+    count or what the snapshot's rows need, whichever is largest.
     """
     part = _read(spark, sf_dir, "part")
-    partitions = max(spark.sparkContext.defaultParallelism, part.rdd.getNumPartitions())
+    partitions = max(spark.sparkContext.defaultParallelism, part.rdd.getNumPartitions(),
+                     -(-_tasks(spark, sf_dir) // 2))
     return part.repartition(partitions, "p_partkey")
 
 
+_ROWS: dict = {}
+
+
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> int:
+    """How many rows the catalogue has over all snapshot days, from the part table's row count
+    and the last ad day; counted once per session and folder. Only used for sizes."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _ROWS:
+        last = _read(spark, sf_dir, "events").select(F.max(_event_day()).alias("d")).first()["d"]
+        _ROWS[key] = _read(spark, sf_dir, "part").count() * (1 + (last or 0))
+    return _ROWS[key]
+
+
+def _tasks(spark: SparkSession, sf_dir: str) -> int:
+    return -(-snapshot_rows(spark, sf_dir) // ROWS_PER_TASK)
+
+
 def _on_days(rows: DataFrame, spark: SparkSession, sf_dir: str, step: int = 1) -> DataFrame:
     """``rows``, each repeated for the snapshot days (every ``step``-th), with the day's number
     ``d`` and its ``partition_date``. Values that do not depend on the day are best made in
@@ -394,4 +414,5 @@ def _derive_inputs(spark: SparkSession, sf_dir: str) -> RetailInputs:
         best_sellers_mapping=best_sellers_mapping(spark, sf_dir),
         geo_targets=geo_targets(spark, sf_dir),
         language_codes=language_codes(spark, sf_dir),
+        partitions=partitions_for(spark, _tasks(spark, sf_dir)),
     )
