@@ -51,3 +51,30 @@ def test_partitions_go_by_rows_where_the_cores_are_too_few(spark):
         counts = set(re.findall(r"hashpartitioning\((?:product_id|entity_id|merchant_id, offer_key)[^)]*, (\d+)\)", plan_text(view(many)).replace("#", "")))
         assert counts == {"13"}
         assert _text(view(many)) == _text(view(few))
+
+
+def test_clusters_are_shuffled_once_up_to_the_details(spark, tmp_dir):
+    i = _inputs(spark)
+    path = os.path.join(tmp_dir, "clusters")
+    i.best_sellers_clusters.write.parquet(path)
+    i.best_sellers_clusters = spark.read.schema(schemas.BEST_SELLERS_CLUSTERS).parquet(path)
+    details = popularity.best_sellers_details(best_sellers.best_sellers_rows(i))
+    paths = _above(details, r"ReadSchema: struct<.*relative_demand")
+    assert len(paths) == 1 and paths[0].count("Exchange") == 1
+    assert len(_text(details)) == 10
+
+
+def test_every_mapped_product_of_a_cluster_counts(spark):
+    """Rows before the DISTINCT, repeats included: named twice, one of two sold, no product, no entity."""
+    i = inputs(spark, products=[product(day=DAY, pid="p1", merchant=1), product(day=DAY, pid="p1", merchant=2),
+                                product(day=DAY, pid="p2", destinations=[destination(approved=["DE"])]),
+                                product(day=DAY, pid=None)],
+               clusters=[cluster(e) for e in ("e1", "e2", "e3", "e4", None)] + [cluster("e2", country="DE")],
+               mapping=[mapping("e1", "p1"), mapping("e1", "p1"), mapping("e2", "p1"), mapping("e2", "p2"),
+                        mapping("e3", None), mapping(None, "p1")])
+    got = sorted((str(r["entity_id"]), r["country_code"], str(r["product_id"]), str(r["merchant_id"]))
+                 for r in best_sellers.best_sellers_rows(i).collect())
+    assert got == sorted(
+        [("e1", "US", "p1", m) for m in "12"] * 2 + [("e2", "US", "p1", m) for m in "12"]
+        + [("e2", "US", "None", "None"), ("e2", "DE", "None", "None"), ("e2", "DE", "p2", "1")]
+        + [(e, "US", "None", "None") for e in ("e3", "e4", "None")])
