@@ -78,3 +78,39 @@ def test_every_mapped_product_of_a_cluster_counts(spark):
         [("e1", "US", "p1", m) for m in "12"] * 2 + [("e2", "US", "p1", m) for m in "12"]
         + [("e2", "US", "None", "None"), ("e2", "DE", "None", "None"), ("e2", "DE", "p2", "1")]
         + [(e, "US", "None", "None") for e in ("e3", "e4", "None")])
+
+
+def test_views_built_some_days_at_a_time_are_the_same(spark, tmp_dir):
+    i = _inputs(spark)
+    paths = readers.InputPaths(os.path.join(tmp_dir, "in"))
+    undated = frame(spark, [product(day=None, pid="undated")], schemas.PRODUCTS)
+    for name, df, column in [
+            ("products", i.products.unionByName(undated), "partition_date"), ("price_competitiveness", i.price_competitiveness, "partition_date"),
+            ("price_insights", i.price_insights, "partition_date"), ("shopping_product_stats", i.shopping_product_stats, "data_date"),
+            ("best_sellers_product_cluster_weekly", i.best_sellers_clusters, "partition_date"),
+            ("best_sellers_entity_product_mapping", i.best_sellers_mapping, "partition_date")]:
+        df.coalesce(1).write.partitionBy(column).parquet(paths.path(name))
+    for name, df in [("geo_targets", i.geo_targets), ("language_codes", i.language_codes)]:
+        df.coalesce(1).write.parquet(paths.path(name))
+    whole, small = (jobs.DailyConfig(inputs=paths, output_root=os.path.join(tmp_dir, name), **more)
+                    for name, more in (("whole", {}), ("small", {"batch_bytes": 1})))
+    assert [s for s, _ in jobs.batches(spark, whole, jobs.INVENTORY_TABLE)] == [None]
+    assert [s for s, _ in jobs.batches(spark, small, jobs.INVENTORY_TABLE)] == [None, DAY]
+    assert [s for s, _ in jobs.batches(spark, small, jobs.INVENTORY_TABLE, [DAY])] == [None]
+    jobs.run_daily(spark, whole)
+    jobs.run_daily(spark, small)
+    assert "undated" in str(_tables(spark, whole)) and _tables(spark, small) == _tables(spark, whole)
+    assert tables.manifest(spark, f"{small.output_root}/{jobs.INVENTORY_TABLE}").number == 1
+
+
+def test_frames_written_one_after_the_other_are_switched_together(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    tables.replace_days([_days(spark, {1: 10, 2: 20}), _days(spark, {3: 30})], path, "date")
+    assert tables.manifest(spark, path).number == 1 and tables.read(spark, path).count() == 9
+    sizes = tables.day_bytes(spark, path, "date")
+    assert sorted(sizes) == ["2024-01-01", "2024-01-02", "2024-01-03"] and min(sizes.values()) > 0
+    bad = spark.sql("SELECT CAST(raise_error('no') AS INT) AS x, DATE'2024-01-02' AS date")
+    with pytest.raises(Exception, match="no"):
+        tables.replace_days([_days(spark, {1: 11}), bad], path, "date")
+    assert sorted({r["x"] for r in tables.read(spark, path).collect()}) == [10, 20, 30]
+    assert tables.day_bytes(spark, path, "date") == sizes
